@@ -2,18 +2,11 @@
 
 from __future__ import annotations
 
-from fieldledger.functions.dates import year_start
+from checks.operators import OPERATORS
+from checks.settings import SETTINGS
 from fieldledger.plans import billing, field_work, next_service, quality  # noqa: F401  (fill the report list)
-from fieldledger.plans.report import REPORTS, Settings
-from fieldledger.sources.adapter import AS_OF, domain_tables
-
-SETTINGS = Settings(
-    AS_OF,
-    visit_years=(2000, 2001),
-    churn_past=(1999, 2000),
-    churn_current=(2001,),
-    completed_since=year_start(1996),
-)
+from fieldledger.plans.report import REPORTS
+from fieldledger.sources.adapter import domain_tables
 
 # Registered number and report, in the order of the blueprint.
 REPORT_IDS = {
@@ -50,4 +43,4 @@ def report_query(name: str):
 
 
 def all_queries() -> dict:
-    return {key: report_query(name) for key, name in REPORT_IDS.items()}
+    return {**{key: report_query(name) for key, name in REPORT_IDS.items()}, **OPERATORS}

@@ -218,8 +218,12 @@ def timestamp_columns(table: str) -> list[str]:
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Exactly the table's columns: unknown ones dropped, missing ones NULL."""
+    return fit(df, table_schema(table))
+
+
+def fit(df: DataFrame, layout: T.StructType) -> DataFrame:
     have = set(df.columns)
-    return df.select(*[_typed(f, f.name in have) for f in table_schema(table).fields])
+    return df.select(*[_typed(f, f.name in have) for f in layout.fields])
 
 
 def _typed(field: T.StructField, present: bool) -> Column:
