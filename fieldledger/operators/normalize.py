@@ -15,10 +15,6 @@ from fieldledger import schema
 from fieldledger.functions import dates, text
 from fieldledger.operators.rules import Field
 
-# Variant type of each rule type.
-VARIANT_TYPES = {"integer": "bigint", "timestamp": "bigint", "real": "double", "text": "string"}
-
-
 def arrival(page: Column, pos: Column) -> Column:
     """Position of a record in its pull as one sortable long: page first, then place on it.
 
@@ -36,17 +32,15 @@ def get(record: Column, kind: str, *names: str) -> Column:
 
 def raw_text(record: Column, *names: str) -> Column:
     """Text of a value: plain for scalars, JSON for objects and arrays, 0/1 for flags."""
-    flag = get(record, "boolean", *names)
-    kind = F.schema_of_variant(get(record, "variant", *names))
-    return F.when(kind == "BOOLEAN", flag.cast("int").cast("string")).otherwise(get(record, "string", *names))
+    shown = get(record, "string", *names)
+    # Only these two texts can come from a flag, so the type is looked up for no others.
+    flag = shown.isin("true", "false") & (F.schema_of_variant(get(record, "variant", *names)) == "BOOLEAN")
+    return F.when(flag, F.when(shown == "true", "1").otherwise("0")).otherwise(shown)
 
 
 def integer(record: Column, *names: str) -> Column:
     """Whole number; true and false count as 1 and 0."""
-    kind = F.schema_of_variant(get(record, "variant", *names))
-    return F.when(kind == "BOOLEAN", get(record, "boolean", *names).cast("bigint")).otherwise(
-        get(record, "bigint", *names)
-    )
+    return get(record, "bigint", *names)
 
 
 def real(record: Column, *names: str) -> Column:
@@ -58,9 +52,8 @@ def value_of(record: Column, rule: Field) -> Column:
     """The column a rule makes of a record."""
     name = rule.source
     if rule.key:
-        is_object = F.schema_of_variant(get(record, "variant", name)).startswith("OBJECT")
-        inner, outer = integer(record, name, rule.key), integer(record, name)
-        return F.when(is_object, inner).otherwise(outer)
+        # A bare value has no such key, an object is no number: one of the two is NULL.
+        return F.coalesce(integer(record, name, rule.key), integer(record, name))
     if rule.type in ("integer", "timestamp"):
         return integer(record, name)
     if rule.type == "real":

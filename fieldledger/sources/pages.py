@@ -1,9 +1,9 @@
 """Landed JSON pages: an envelope with a record list, paging keys and side lists.
 
 A page is text. The record list is found by name or, failing that, as the
-first list that is no paging key; order inside the text decides, which is why
-the keys are read from the text and not from a parsed (sorted) value.
-Columns of a page frame: ``pull`` (which download), ``page_no``, ``body``.
+first list that is no paging key. Order inside the text decides then, which is
+why these keys are read from the text and not from the parsed (sorted) value.
+Columns of a page frame: ``pull`` (which download) and ``body``.
 """
 
 from __future__ import annotations
@@ -27,17 +27,27 @@ def stream_pages(spark: SparkSession, folder: str, files_per_batch: int = 1000)
 
 
 def numbered(files: DataFrame) -> DataFrame:
-    number = F.get_json_object(data_of(F.col("value")), "$.page").try_cast("bigint")
     return files.select(
         F.regexp_extract(F.col("_metadata.file_path"), "pull=([^/]+)", 1).alias("pull"),
-        F.coalesce(number, F.lit(1).cast("bigint")).alias("page_no"),
         F.col("value").alias("body"),
     )
 
 
-def data_of(body: Column) -> Column:
-    """Payload text: the ``data`` member when there is one, else the whole."""
-    return F.coalesce(F.get_json_object(body, "$.data"), body)
+def opened(pages: DataFrame) -> DataFrame:
+    """Pages with their payload parsed once: ``(pull, page, body, data)``.
+
+    The payload is the ``data`` member when there is one, else the whole text.
+    A text that is no JSON gives a NULL payload and so no records.
+    """
+    whole = F.try_parse_json(F.col("body"))
+    read = pages.select("pull", "body", F.coalesce(F.try_variant_get(whole, "$.data", "variant"), whole).alias("data"))
+    number = F.try_variant_get(F.col("data"), "$.page", "bigint")
+    return read.select("pull", F.coalesce(number, F.lit(1).cast("bigint")).alias("page"), "body", "data")
+
+
+def list_of(data: Column, name: str | None = None) -> Column:
+    """Elements of a member (or of the payload itself); NULL when it is no list."""
+    return F.try_variant_get(data, "$" if name is None else f"$['{name}']", "array<variant>")
 
 
 def candidates(feed: str) -> list[str]:
@@ -47,77 +57,60 @@ def candidates(feed: str) -> list[str]:
     return names
 
 
-def member(data: Column, key: Column) -> Column:
-    return F.call_function("get_json_object", data, F.concat(F.lit("$['"), key, F.lit("']")))
-
-
-def list_keys(data: Column) -> Column:
-    """Names of list-valued members outside paging, in text order."""
-    keys = F.json_object_keys(data)
-    return F.filter(
-        keys,
-        lambda k: ~k.isin(*PAGING_KEYS) & F.startswith(F.ltrim(member(data, k)), F.lit("[")),
+def named_lists(body: Column, data: Column) -> Column:
+    """Lists of a page outside paging, in text order: ``array<(name, items)>``."""
+    keys = F.json_object_keys(F.coalesce(F.get_json_object(body, "$.data"), body))
+    members = F.try_variant_get(data, "$", "map<string,variant>")
+    pairs = F.transform(
+        F.filter(keys, lambda k: ~k.isin(*PAGING_KEYS)),
+        lambda k: F.struct(k.alias("name"), F.try_variant_get(members[k], "$", "array<variant>").alias("items")),
     )
-
-
-def record_key(data: Column, feed: str) -> Column:
-    """Name of the member that holds the records; NULL when the page has none."""
-    lists = list_keys(data)
-    named = [F.when(F.array_contains(lists, name), F.lit(name)) for name in candidates(feed)]
-    return F.coalesce(*named, F.get(lists, 0))
-
-
-def record_list(body: Column, feed: str) -> Column:
-    """JSON array text of a page's records."""
-    data = data_of(body)
-    bare = F.startswith(F.ltrim(data), F.lit("["))
-    return F.when(bare, data).otherwise(member(data, record_key(data, feed)))
-
-
-def variants(array_text: Column) -> Column:
-    return F.variant_get(F.try_parse_json(array_text), "$", "array<variant>")
+    return F.filter(pairs, lambda p: p["items"].isNotNull())
 
 
 def records(pages: DataFrame, feed: str) -> DataFrame:
-    """``(pull, page, pos, record)`` of all pages, which is also the arrival order."""
-    return pages.select(
-        "pull", F.col("page_no").alias("page"), F.posexplode(variants(record_list(F.col("body"), feed))).alias("pos", "record")
-    )
+    """``(pull, page, pos, record)`` of all pages, which is also the arrival order.
+
+    Known names are tried first; only a page without any of them pays for
+    looking through its keys.
+    """
+    data = F.col("data")
+    known = [list_of(data, name) for name in candidates(feed)]
+    first = F.get(named_lists(F.col("body"), data), 0)["items"]
+    found = F.coalesce(list_of(data), *known, first)
+    return opened(pages).select("pull", "page", F.posexplode(found).alias("pos", "record"))
 
 
 def section(pages: DataFrame, name: str) -> DataFrame:
     """``(pull, page, pos, record)`` of a named side list."""
-    data = data_of(F.col("body"))
-    return pages.select(
-        "pull",
-        F.col("page_no").alias("page"),
-        F.posexplode(variants(F.get_json_object(data, f"$['{name}']"))).alias("pos", "record"),
-    )
+    return opened(pages).select("pull", "page", F.posexplode(list_of(F.col("data"), name)).alias("pos", "record"))
 
 
 def side_sections(pages: DataFrame, feed: str) -> DataFrame:
     """Every list beside the records: ``(section, pull, page, pos, record)``."""
-    data = data_of(F.col("body"))
-    others = F.filter(list_keys(data), lambda k: k != record_key(data, feed))
-    return (
-        pages.select("pull", F.col("page_no").alias("page"), data.alias("data"), F.explode(others).alias("section"))
-        .select("section", "pull", "page", F.posexplode(variants(member(F.col("data"), F.col("section")))).alias("pos", "record"))
+    lists = opened(pages).select("pull", "page", named_lists(F.col("body"), F.col("data")).alias("lists"))
+    names = F.transform("lists", lambda p: p["name"])
+    known = [F.when(F.array_contains(names, name), F.lit(name)) for name in candidates(feed)]
+    primary = F.coalesce(*known, F.get(names, 0))
+    sides = lists.select("pull", "page", F.explode(F.filter("lists", lambda p: p["name"] != primary)).alias("side"))
+    return sides.select(
+        F.col("side.name").alias("section"), "pull", "page", F.posexplode("side.items").alias("pos", "record")
     )
 
 
 def paging_summary(pages: DataFrame) -> DataFrame:
     """Pages, records and page size a pull announces; only for pulls of several pages."""
-    data = data_of(F.col("body"))
 
     def number(key: str) -> Column:
-        return F.max(F.get_json_object(data, f"$.{key}").try_cast("bigint"))
+        return F.max(F.try_variant_get(F.col("data"), f"$.{key}", "bigint"))
 
     return (
-        pages.agg(
+        opened(pages)
+        .agg(
             number("totalPages").alias("total_pages"),
             number("totalCount").alias("total_count"),
             number("pageSize").alias("page_size"),
-            F.count_distinct("page_no").alias("pages_landed"),
+            F.count_distinct("page").alias("pages_landed"),
         )
         .withColumn("complete", F.col("pages_landed") == F.col("total_pages"))
         .where(F.col("total_pages") > 1)
@@ -144,4 +137,4 @@ def make_pages(rows: DataFrame, key: str, name: str, size: int, side: dict[str,
     )
     meta = F.struct(F.struct(F.lit(60000).alias("resourceBalanceMs")).alias("stats"))
     body = F.to_json(F.struct(data.alias("data"), meta.alias("meta")), {"ignoreNullFields": "false"})
-    return grouped.select(F.lit("").alias("pull"), (F.col("page_no") + 1).alias("page_no"), body.alias("body"))
+    return grouped.select(F.lit("").alias("pull"), body.alias("body"))
