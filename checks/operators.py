@@ -264,8 +264,7 @@ def q4_paging_summary(spark, sf_dir):
 
 def field_catalogue(spark, sf_dir):
     seen = profile.nested_keys(feeds.event_records(spark, sf_dir))
-    full = profile.field_profile(feeds.event_records(spark, sf_dir)).join(seen.drop("api_type"), "field", "left")
-    return full.select(F.explode(F.array(F.lit("event"), F.lit("servicerecurrence"))).alias("feed"), "field", "api_type", "keys")
+    return seen.select(F.explode(F.array(F.lit("event"), F.lit("servicerecurrence"))).alias("feed"), "field", "api_type", "keys")
 
 
 @operator
@@ -477,10 +476,10 @@ def x8_duplicates_by_description(t):
     return quality.duplicates_by_description(shared_descriptions(t))
 
 
-def shared_descriptions(t) -> dict:
+def shared_descriptions(t):
     """The tables with descriptions cut to their label, so that some repeat."""
     cut = t["service_recurrence"].withColumn("description", F.substring("description", 1, 20))
-    return {**t, "service_recurrence": cut}
+    return t.with_table("service_recurrence", cut)
 
 
 @on_tables

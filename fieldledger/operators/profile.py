@@ -11,37 +11,49 @@ from fieldledger.operators import rules
 from fieldledger.operators.normalize import arrival, first_child_keys
 
 
-def type_name(value: Column) -> Column:
-    """Simple type of a variant. Whole numbers come as BIGINT or a wide decimal;
-    a short decimal without places is a number that was written as 1.0."""
-    kind = F.schema_of_variant(value)
-    wide = F.regexp_extract(kind, r"^DECIMAL\((\d+),0\)$", 1).try_cast("int") > 18
+def type_name(kind: Column) -> Column:
+    """Simple type of a variant's schema text, cut at its first ``<``.
+
+    Whole numbers come as BIGINT or a wide decimal; a short decimal without
+    places is a number that was written as 1.0.
+    """
+    places = F.regexp_extract(kind, r"^DECIMAL\((\d+),0\)$", 1).try_cast("int")
     return (
-        F.when(kind == "BOOLEAN", "boolean")
-        .when((kind == "BIGINT") | wide, "integer")
-        .when(kind.startswith("DECIMAL") | (kind == "DOUBLE"), "real")
-        .when(kind == "STRING", "text")
-        .when(kind.startswith("ARRAY"), "array")
-        .when(kind.startswith("OBJECT"), "object")
+        F.when(kind == "STRING", "text")
+        .when(kind == "BIGINT", "integer")
+        .when(kind == "BOOLEAN", "boolean")
+        .when(kind == "OBJECT", "object")
+        .when(kind == "ARRAY", "array")
+        .when(kind == "DOUBLE", "real")
+        .when(places > 18, "integer")
+        .when(kind.startswith("DECIMAL"), "real")
         .otherwise("unknown")
     )
 
 
 def exploded(records: DataFrame) -> DataFrame:
     """``(at, field, value)`` for every key of every record."""
-    members = F.variant_get(F.col("record"), "$", "map<string,variant>")
-    return records.select(arrival(F.col("page"), F.col("pos")).alias("at"), F.explode(members).alias("field", "value"))
+    placed = records.select(arrival(F.col("page"), F.col("pos")).alias("at"), "record")
+    members = records.sparkSession.tvf.variant_explode(F.col("record").outer())
+    return placed.lateralJoin(members).select("at", F.col("key").alias("field"), "value")
+
+
+def kinds(records: DataFrame) -> DataFrame:
+    """``(at, field, kind, value)``; the type of a value is looked up once."""
+    raw = exploded(records).withColumn("raw", F.schema_of_variant("value"))
+    return raw.select("at", "field", F.substring_index("raw", "<", 1).alias("kind"), "value")
 
 
 def field_profile(records: DataFrame) -> DataFrame:
-    """``(field, api_type)``: the type of each key's first value that is not null."""
-    kind = type_name(F.col("value"))
-    return (
-        exploded(records)
-        .select("at", "field", kind.alias("kind"))
-        .groupBy("field")
-        .agg(F.coalesce(F.min_by("kind", F.when(F.col("kind") != "unknown", F.col("at"))), F.lit("unknown")).alias("api_type"))
-    )
+    """``(field, api_type)``: the type of each key's first value that is not null.
+
+    Field names are few and hot; every task reduces them to one row per field
+    and kind before anything moves.
+    """
+    firsts = kinds(records).groupBy("field", "kind").agg(F.min("at").alias("at"))
+    named = firsts.withColumn("api_type", type_name(F.col("kind")))
+    known = F.when(F.col("api_type") != "unknown", F.col("at"))
+    return named.groupBy("field").agg(F.coalesce(F.min_by("api_type", known), F.lit("unknown")).alias("api_type"))
 
 
 def nested_keys(records: DataFrame) -> DataFrame:
@@ -50,20 +62,22 @@ def nested_keys(records: DataFrame) -> DataFrame:
 
     Only the head of an array is kept as a sample, so a sample stays one object.
     """
-    value, kind = F.col("value"), type_name(F.col("value"))
-    head = F.coalesce(
-        F.when(F.col("kind") == "object", value), F.when(F.col("kind") == "array", F.try_variant_get(value, "$[0]", "variant"))
+    value, kind = F.col("value"), F.col("kind")
+    head = F.when(kind == "OBJECT", value).when(kind == "ARRAY", F.try_variant_get(value, "$[0]", "variant"))
+    firsts = (
+        kinds(records)
+        .withColumn("text", F.to_json(head))
+        .groupBy("field", "kind")
+        .agg(F.min("at").alias("at"), F.min_by("text", "at").alias("text"))
     )
-    seen = (
-        exploded(records)
-        .withColumn("kind", kind)
-        .where(F.col("kind") != "unknown")
-        .select("at", "field", F.struct("kind", F.to_json(head).alias("text")).alias("sample"))
-        .groupBy("field")
-        .agg(F.min_by("sample", "at").alias("sample"))
+    named = firsts.withColumn("api_type", type_name(kind))
+    known = F.when(F.col("api_type") != "unknown", F.col("at"))
+    seen = named.groupBy("field").agg(F.min_by(F.struct("api_type", "text"), known).alias("first"))
+    return seen.select(
+        "field",
+        F.coalesce("first.api_type", F.lit("unknown")).alias("api_type"),
+        F.json_object_keys(F.col("first.text")).alias("keys"),
     )
-    names = F.json_object_keys(F.col("sample.text"))
-    return seen.select("field", F.col("sample.kind").alias("api_type"), names.alias("keys"))
 
 
 def child_feed_mode(parents: DataFrame, detail: DataFrame) -> DataFrame:

@@ -9,8 +9,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # Table columns, in stored order.
@@ -223,9 +222,9 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 def fit(df: DataFrame, layout: T.StructType) -> DataFrame:
     have = set(df.columns)
-    return df.select(*[_typed(f, f.name in have) for f in layout.fields])
-
-
-def _typed(field: T.StructField, present: bool) -> Column:
-    value = F.col(f"`{field.name}`") if present else F.lit(None)
-    return value.try_cast(field.dataType).alias(field.name, metadata=field.metadata)
+    return df.selectExpr(
+        *[
+            f"TRY_CAST({f'`{f.name}`' if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
+            for f in layout.fields
+        ]
+    )

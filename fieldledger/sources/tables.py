@@ -22,6 +22,10 @@ class Tables(Mapping):
             self._open[name] = found() if callable(found) else found
         return self._open[name]
 
+    def with_table(self, name: str, rows: DataFrame) -> Tables:
+        """The same tables with one put in or replaced; nothing is opened."""
+        return Tables({**self._openers, name: rows})
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._openers)
 
