@@ -75,7 +75,7 @@ def quote_acceptance() -> str:
           SELECT c.name AS customer, COUNT(*) AS total_quotes, {n("= 'accepted'")} AS accepted,
                  {n("= 'rejected'")} AS rejected, {n("= 'submitted'")} AS pending, {n("IN ('new', 'draft')")} AS draft,
                  {n("= 'canceled'")} AS canceled,
-                 coalesce({rounded("SUM(q.total_price) FILTER (WHERE q.status = 'accepted')")}, 0) AS accepted_value
+                 {rounded("SUM(if(q.status = 'accepted', q.total_price, 0))")} AS accepted_value
           FROM quote q, company c WHERE c.id = q.customer_id GROUP BY c.id, c.name)
         SELECT *, {rate} AS acceptance_rate_pct
         FROM tally"""
