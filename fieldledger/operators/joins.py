@@ -36,6 +36,18 @@ def without(left: DataFrame, right: DataFrame, key: str, right_key: str) -> Data
     return left.join(keys, left[key] == keys["_partner"], "left_anti")
 
 
+def attach_groups(rows: DataFrame, groups: DataFrame, keys: list[str], spread_by: str, salts: int = 64) -> DataFrame:
+    """Rows joined to the aggregate row of their group.
+
+    Each group row is repeated once per salt and the rows spread over the salts
+    by a unique column, so that one huge group is joined by many tasks. Meant for
+    ``groups`` that are few, e.g. filtered to the odd ones.
+    """
+    spread = groups.withColumn("_salt", F.explode(F.array(*[F.lit(n) for n in range(salts)])))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    return salted.join(spread, [*keys, "_salt"]).drop("_salt")
+
+
 def chain(versions: DataFrame, active: DataFrame) -> DataFrame:
     """Every stored version that resolves to an active one.
 

@@ -29,15 +29,31 @@ def not_ended(s) -> Column:
     return C("ends_on").isNull() | (C("ends_on") > s.as_of)
 
 
-def with_site(df: DataFrame, t, extra: dict[str, str] | None = None) -> DataFrame:
-    """Location and its company for rows that have a ``location_id``."""
-    site = lookup(
-        df,
-        t["location"],
-        "location_id",
-        {"company_id": "company_id", "name": "location", "address_city": "city", **(extra or {})},
-    )
-    return lookup(site, t["company"], "company_id", {"name": "customer", "status": "customer_status"})
+def sites(t, extra: dict[str, str] | None = None, last: DataFrame | None = None, how: str = "left") -> DataFrame:
+    """One row per location, with its company and, if given, its ``last_ts``.
+
+    Everything that hangs on a location is put together here, among small
+    tables, so that a fact table is shuffled once to meet all of it. The company
+    comes last: the result then has a shuffle of its own on the way to the fact,
+    which is what lets AQE split a hot location.
+    """
+    columns = {"id": "id", "company_id": "company_id", "name": "location", "address_city": "city", **(extra or {})}
+    places = t["location"].select(*[C(c).alias(n) for c, n in columns.items()])
+    if last is not None:
+        places = lookup(places, last, "id", {"last_ts": "last_ts"}, how)
+    return lookup(places, t["company"], "company_id", {"name": "customer", "status": "customer_status"})
+
+
+def with_site(df: DataFrame, t, **choice) -> DataFrame:
+    """Location and company columns for rows that have a ``location_id``."""
+    places = sites(t, **choice)
+    return lookup(df, places, "location_id", {c: c for c in places.columns if c != "id"})
+
+
+def last_per_location(jobs: DataFrame, ts: str) -> DataFrame:
+    """Latest ``ts`` per location as ``(id, last_ts)``."""
+    known = jobs.where(C("location_id").isNotNull())
+    return known.groupBy(C("location_id").alias("id")).agg(F.max(ts).alias("last_ts"))
 
 
 @report("visits", "Completed jobs of the chosen years", "customer_name", "_sort_completed")
@@ -181,31 +197,22 @@ def deficiency_severity_by_customer(t, s) -> DataFrame:
 
 @report("compliance_overdue", "Recurrences whose last visit is older than their cadence", "-days_overdue")
 def compliance_overdue(t, s) -> DataFrame:
-    last_visit = (
-        t["job"]
-        .where((C("status") == "completed") & (C("completed_on") > s.completed_since) & C("location_id").isNotNull())
-        .groupBy(C("location_id").alias("id"))
-        .agg(F.max("completed_on").alias("last_ts"))
-    )
-    # Cadence against the age of the last visit, known per place.
-    visited = lookup(t["service_recurrence"].where(not_ended(s)), last_visit, "location_id", {"last_ts": "last_ts"})
-    late = visited.select(
-        "location_id",
-        "frequency",
-        "interval",
-        dates.cadence_days(C("frequency"), C("interval")).alias("interval_days"),
-        dates.utc_day(C("last_ts")).alias("last_completed"),
-        dates.whole_days(s.now - C("last_ts")).alias("days_since_service"),
-    ).where(C("days_since_service") > C("interval_days"))
-    return with_site(late, t).select(
-        "customer",
-        "location",
-        "frequency",
-        "interval",
-        "interval_days",
-        "last_completed",
-        "days_since_service",
-        (C("days_since_service") - C("interval_days")).alias("days_overdue"),
+    jobs = t["job"].where((C("status") == "completed") & (C("completed_on") > s.completed_since))
+    places = sites(t, last=last_per_location(jobs, "completed_on"), how="inner")
+    columns = {c: c for c in ("customer", "location", "last_ts")}
+    due = lookup(t["service_recurrence"].where(not_ended(s)), places, "location_id", columns)
+    return (
+        due.select(
+            "customer",
+            "location",
+            "frequency",
+            "interval",
+            dates.cadence_days(C("frequency"), C("interval")).alias("interval_days"),
+            dates.utc_day(C("last_ts")).alias("last_completed"),
+            dates.whole_days(s.now - C("last_ts")).alias("days_since_service"),
+        )
+        .where(C("days_since_service") > C("interval_days"))
+        .withColumn("days_overdue", C("days_since_service") - C("interval_days"))
     )
 
 
@@ -249,12 +256,7 @@ def locations_no_recurrence(t, s) -> DataFrame:
     )
     customers = t["company"].where((C("is_customer") == 1) & (C("status") == "active"))
     owned = lookup(bare, customers, "company_id", {"name": "customer", "status": "customer_status"})
-    last = (
-        t["job"]
-        .where((C("status") == "completed") & C("location_id").isNotNull())
-        .groupBy(C("location_id").alias("id"))
-        .agg(F.max("completed_on").alias("last_ts"))
-    )
+    last = last_per_location(t["job"].where(C("status") == "completed"), "completed_on")
     return lookup(owned, last, "id", {"last_ts": "last_ts"}, "left").select(
         "customer",
         "customer_status",
@@ -278,7 +280,7 @@ def locations_on_hold_with_recurrence(t, s) -> DataFrame:
             F.max("first_start").alias("latest"),
         )
     )
-    placed = with_site(per_place, t, {"status": "location_status"})
+    placed = with_site(per_place, t, extra={"status": "location_status"})
     return placed.where(
         C("location_status").isin("on_hold", "inactive") | C("customer_status").isin("on_hold", "inactive")
     ).select(

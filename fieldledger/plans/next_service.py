@@ -9,6 +9,7 @@ from fieldledger.functions import dates, text
 from fieldledger.operators.joins import chain, lookup
 from fieldledger.operators.latest import newest_where
 from fieldledger.operators.mixed_order import mixed_rank
+from fieldledger.plans.field_work import last_per_location
 from fieldledger.plans.report import report
 
 C = F.col
@@ -69,11 +70,20 @@ def active_recurrences(t, prefix: str) -> DataFrame:
     )
 
 
-def at_active_sites(df: DataFrame, t) -> DataFrame:
-    places = t["location"].where(C("status") == "active")
+def at_active_sites(df: DataFrame, t, last: DataFrame | None = None) -> DataFrame:
+    """Rows at active locations of active companies, with their names.
+
+    ``last`` adds a ``last_ts`` per location. Sites are put together first, so
+    the recurrences meet them in a single join.
+    """
+    places = t["location"].where(C("status") == "active").select("id", "company_id", C("name").alias("location_name"))
+    columns = ["location_name", "company_name"]
+    if last is not None:
+        places = lookup(places, last, "id", {"last_ts": "last_ts"}, "left")
+        columns.append("last_ts")
     firms = t["company"].where(C("status") == "active")
-    placed = lookup(df, places, "location_id", {"company_id": "company_id", "name": "location_name"})
-    return lookup(placed, firms, "company_id", {"name": "company_name"})
+    owned = lookup(places, firms, "company_id", {"name": "company_name"})
+    return lookup(df, owned, "location_id", {c: c for c in columns})
 
 
 def services_of(t, active: DataFrame) -> DataFrame:
@@ -165,15 +175,9 @@ def local_text(column: str, s) -> Column:
     "location_name",
 )
 def primary_hood_v1(t, s) -> DataFrame:
-    last = (
-        t["job"]
-        .where((C("status") == "completed") & C("location_id").isNotNull())
-        .groupBy(C("location_id").alias("id"))
-        .agg(F.max("scheduled_date").alias("last_ts"))
-    )
-    sites = at_active_sites(active_recurrences(t, MAIN_HOOD_PREFIX), t)
+    last = last_per_location(t["job"].where(C("status") == "completed"), "scheduled_date")
     dated = (
-        lookup(sites, last, "location_id", {"last_ts": "last_ts"}, "left")
+        at_active_sites(active_recurrences(t, MAIN_HOOD_PREFIX), t, last)
         .withColumn("last_day", dates.local_date(C("last_ts"), s.tz))
         .withColumn("due_day", dates.local_date(C("currently_due"), s.tz))
         .withColumn("calc_day", dates.cadence_add(C("last_day"), C("frequency"), C("interval")))

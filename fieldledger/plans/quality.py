@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldledger.functions import dates, text
-from fieldledger.operators.joins import chain, lookup
+from fieldledger.operators.joins import attach_groups, chain, lookup
 from fieldledger.operators.latest import newest
 from fieldledger.plans.next_service import (
     MAIN_HOOD_PREFIX,
@@ -45,7 +45,7 @@ def repeated(t, prefix: str, keys: list[str], count: str) -> DataFrame:
         "id", text.number_text(C("estimated_price")).alias("price_text"), "company_name", "location_name", "description"
     )
     sizes = sites.groupBy(*keys).agg(F.count(F.lit(1)).alias(count)).where(C(count) > 1)
-    return sites.join(sizes, keys)
+    return attach_groups(sites, sizes, keys, "id")
 
 
 def listed(value: str):

@@ -23,12 +23,26 @@ BUCKET = "bucket"
 
 
 class TableStore:
-    """``layouts`` adds tables beside the fixed ones: name -> (schema, key column)."""
+    """``layouts`` adds tables beside the fixed ones: name -> (schema, key column).
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, layouts: dict | None = None):
+    ``buckets`` hash buckets serve any key. Where keys are handed out in
+    ascending order, ``bucket_rows`` cuts the key range instead: changes mostly
+    concern recent keys, so a load rewrites a few buckets of a known size however
+    large the table has grown. Text keys are always hashed.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        buckets: int = 64,
+        layouts: dict | None = None,
+        bucket_rows: int | None = None,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
+        self.bucket_rows = bucket_rows
         self.layouts = layouts or {}
 
     def layout(self, table: str) -> tuple[T.StructType, str]:
@@ -93,8 +107,11 @@ class TableStore:
 
     # Writing -------------------------------------------------------------
 
-    def bucket_of(self, key: str):
-        return F.pmod(F.xxhash64(F.col(key)), F.lit(self.buckets)).cast("int")
+    def bucket_of(self, layout: T.StructType, key: str):
+        if self.bucket_rows and isinstance(layout[key].dataType, T.LongType):
+            rows = F.lit(self.bucket_rows)
+            return F.call_function("div", F.col(key) - F.pmod(F.col(key), rows), rows)
+        return F.pmod(F.xxhash64(F.col(key)), F.lit(self.buckets)).cast("bigint")
 
     def upsert(
         self,
@@ -114,10 +131,10 @@ class TableStore:
             return state["version"]
         layout, key = self.layout(table)
         changes = schema.fit(changes, layout)
-        touched = self._buckets_in(changes, key)
+        touched = self._buckets_in(changes, layout, key)
         folder = None
         if touched:
-            folder = self._write(table, merge.upsert(self.read(table, touched), changes, key, newer_by), key)
+            folder = self._write(table, merge.upsert(self.read(table, touched), changes, key, newer_by), layout, key)
         return self._publish(table, state, touched, folder, source, batch)
 
     def replace(self, table: str, rows: DataFrame) -> int:
@@ -125,25 +142,25 @@ class TableStore:
         state = self.manifest(table)
         layout, key = self.layout(table)
         rows = schema.fit(rows, layout)
-        folder = self._write(table, rows, key)
-        return self._publish(table, {**state, "buckets": {}}, self._buckets_in(rows, key), folder, None, None)
+        folder = self._write(table, rows, layout, key)
+        return self._publish(table, {**state, "buckets": {}}, self._buckets_in(rows, layout, key), folder, None, None)
 
-    def _buckets_in(self, rows: DataFrame, key: str) -> list[int]:
+    def _buckets_in(self, rows: DataFrame, layout: T.StructType, key: str) -> list[int]:
         # At most as many values as there are buckets.
-        return [r[0] for r in rows.select(self.bucket_of(key)).distinct().collect()]
+        return [r[0] for r in rows.select(self.bucket_of(layout, key)).distinct().collect()]
 
     def clear(self, table: str) -> int:
         """Empty the table. Old versions stay until someone removes their folders."""
         state = self.manifest(table)
         return self._publish(table, {**state, "buckets": {}, "applied": {}}, [], None, None, None)
 
-    def _write(self, table: str, rows: DataFrame, key: str) -> str:
+    def _write(self, table: str, rows: DataFrame, layout: T.StructType, key: str) -> str:
         # A folder of its own per attempt: a failed or competing write leaves no
         # trace in anybody's table. Rebalancing by bucket lets AQE cut a large
         # bucket into several files.
         folder = uuid.uuid4().hex
         (
-            rows.withColumn(BUCKET, self.bucket_of(key))
+            rows.withColumn(BUCKET, self.bucket_of(layout, key))
             .hint("rebalance", F.col(BUCKET))
             .write.partitionBy(BUCKET)
             .parquet(f"{self.root}/{table}/data/{folder}")

@@ -45,7 +45,7 @@ def test_versions_are_whole(spark, tmp_path):
     assert store.count("thing") == 51
     assert {r[1] for r in rows(before)} == {"old"}, "an opened version does not change"
     # A writer that died after its data leaves the table as it was.
-    store._write("thing", things(spark, (3, "half")), "id")
+    store._write("thing", things(spark, (3, "half")), ROW, "id")
     (tmp_path / "thing" / "manifest" / "3.json").write_text('{"version": 3, "buck')
     assert {r[:2] for r in rows(store.read("thing"))} >= {(3, "new"), (99, "new")}
     with pytest.raises(Exception):
@@ -61,6 +61,18 @@ def test_only_touched_buckets_are_written(spark, tmp_path):
     assert sum(first[b] != second[b] for b in first) == 1
 
 
+def test_key_ranges_keep_changes_local(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path), 4, LAYOUTS, bucket_rows=10)
+    store.upsert("thing", things(spark, *[(i, "old") for i in range(-5, 95)]))
+    first = store.manifest("thing")["buckets"]
+    store.upsert("thing", things(spark, (93, "new"), (96, "new"), (101, "new")))
+    second = store.manifest("thing")["buckets"]
+    assert sorted(map(int, first)) == list(range(-1, 10))
+    assert [b for b in second if second[b] != first.get(b)] == ["9", "10"]
+    got = {r[0]: r[1] for r in rows(store.read("thing"))}
+    assert len(got) == 102 and got[93] == "new" and got[-5] == "old"
+
+
 def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     store = store_at(spark, tmp_path)
     store.upsert("thing", things(spark, (1, "a")), source="s", batch=0)

@@ -9,7 +9,7 @@ from checks.registry import all_queries
 from checks.settings import SETTINGS
 from fieldledger import schema
 from fieldledger.operators import merge
-from fieldledger.operators.joins import lookup, without
+from fieldledger.operators.joins import attach_groups, lookup, without
 from fieldledger.plans.report import REPORTS
 from fieldledger.sources.adapter import domain_tables
 from fieldledger.sources.tables import parquet_tables
@@ -84,30 +84,70 @@ def test_aggregates_combine_before_the_shuffle(stored, large):
         assert "partial_" in text.split("Exchange")[0] or "partial_" in text
 
 
-def test_hot_keys_are_split(spark, large):
-    """A key that holds a third of the rows is cut into several join tasks."""
-    settings = {
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+@pytest.fixture
+def tiny_partitions(spark, large):
+    """Thresholds at which test-sized data already counts as skewed."""
+    sizes = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
         "spark.sql.shuffle.partitions": "8",
     }
-    old = {k: spark.conf.get(k) for k in settings}
-    for k, v in settings.items():
+    old = {k: spark.conf.get(k) for k in sizes}
+    for k, v in sizes.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
         spark.conf.set(k, v)
-    try:
-        key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500)
-        facts = spark.range(0, 60000, 1, 16).select("id", key.alias("customer_id"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
-        firms = spark.range(500).select("id", F.concat(F.lit("c"), "id").alias("name"))
-        joined = lookup(facts, firms, "customer_id", {"name": "customer"})
-        assert joined.count() == 60000
-        joined.write.format("noop").mode("overwrite").save()
-        rows = joined.select("id", "customer")
-        rows.collect()
-        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
+
+
+def run_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def hot(n: int):
+    """7 for a third of the rows, spread out for the others."""
+    return F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % n)
+
+
+def test_hot_keys_are_split(spark, tiny_partitions):
+    facts = spark.range(0, 60000, 1, 16).select("id", hot(500).alias("customer_id"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    firms = spark.range(500).select("id", F.concat(F.lit("c"), "id").alias("name"))
+    joined = lookup(facts, firms, "customer_id", {"name": "customer"})
+    assert joined.count() == 60000
+    assert "skew=true" in run_plan(joined)
+
+
+@pytest.mark.parametrize("name", ["compliance_overdue", "primary_hood_next_service", "open_deficiencies"])
+def test_a_hot_location_is_split_in_the_reports(spark, tiny_partitions, tmp_path, name):
+    pad = F.sha2(F.col("id").cast("string"), 256)
+    as_of, day = SETTINGS.as_of, 86400
+    made = {
+        "location": spark.range(300).select("id", F.lit("l").alias("name"), (F.col("id") % 40).alias("company_id"), F.lit("active").alias("status")),
+        "company": spark.range(40).select("id", F.lit("c").alias("name"), F.lit("active").alias("status")),
+        "job": spark.range(600).select("id", (F.col("id") % 300).alias("location_id"), F.lit("completed").alias("status"), F.lit(as_of - 500 * day).alias("completed_on"), F.lit(as_of).alias("scheduled_date")),
+        "service_recurrence": spark.range(0, 30000, 1, 16).select(
+            "id", hot(300).alias("location_id"), F.concat(F.lit("PrimaryxxxxMainHoodxxxxxx"), pad).alias("description"),
+            F.lit("weekly").alias("frequency"), (F.pmod(F.xxhash64("id"), F.lit(60)) + 1).alias("interval"), F.lit(10).alias("service_line_id"),
+            F.col("id").alias("current_service_recurrence_id"), (F.lit(as_of) + F.col("id")).alias("currently_due"), (F.col("id") / 7).alias("estimated_price"),
+        ),
+        "deficiency": spark.range(0, 30000, 1, 16).select("id", hot(300).alias("location_id"), F.lit("new").alias("status"), pad.alias("description"), F.lit(as_of).alias("reported_on")),
+    }
+    for table, rows in made.items():
+        schema.conform(rows, table).write.parquet(f"{tmp_path}/{table}")
+    df = REPORTS[name].frame(parquet_tables(spark, str(tmp_path)), SETTINGS)
+    assert df.count() == 30000
+    text = run_plan(df)
+    assert "skew=true" in text, text
+
+
+def test_hot_duplicates_are_spread(spark, large):
+    rows = spark.range(3000).select("id", (F.col("id") % 3 * 0).alias("g"))
+    sizes = rows.groupBy("g").count()
+    joined = attach_groups(rows, sizes, ["g"], "id", salts=16)
+    assert joined.count() == 3000
+    assert joined.repartition(1).select(F.pmod(F.xxhash64("id"), F.lit(16))).distinct().count() == 16
 
 
 def test_anti_join_collapses_partner_keys(spark, large):
