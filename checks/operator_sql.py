@@ -60,6 +60,12 @@ SIDE = f"""
       SELECT coalesce(recurrence_id, -id) AS parent, arg_max_null(window_start, k) AS currently_due
       FROM side GROUP BY parent)"""
 
+ITEMS = """
+    , items AS (
+        SELECT i.id AS invoice_id, i.id * 10 + k.k AS id, 'item ' || k.k AS description, CAST(k.k AS DOUBLE) AS quantity,
+               CAST(k.k * 1.5 AS DOUBLE) AS price, CAST(k.k * k.k * 1.5 AS DOUBLE) AS subtotal, k.k % 3 AS service_line_id
+        FROM invoice i, (SELECT unnest(range(1, 4)) AS k) k WHERE k.k <= i.id % 4)"""
+
 EVENTS = "SELECT event_id, event_type, value, props, CAST(epoch_us(ts) // 1000000 AS BIGINT) AS updated_at FROM events"
 
 NULL_TEXT = "CAST(NULL AS VARCHAR)"
@@ -101,6 +107,14 @@ DOMAIN_SQL = {
     "s3_side_sections": SIDE + " SELECT 'serviceRequests' AS section, COUNT(*) AS records FROM side",
     "s5_incremental_read": f"SELECT id, status, updated_at FROM invoice WHERE updated_at > {NOW} - 365 * 86400",
     "s6_default_floor": f"SELECT id, {big('currently_due')} AS currently_due FROM service_recurrence WHERE currently_due > {MARK}",
+    "s8_load_feed": ITEMS + " SELECT * FROM items",
+    "s12_reset": ITEMS
+    + """ SELECT 'before' AS moment, 'invoice' AS name, COUNT(*) AS records FROM invoice
+          UNION ALL SELECT 'before', 'invoice_item', COUNT(*) FROM items UNION ALL SELECT 'before', 'sync_status', 2
+          UNION ALL SELECT 'after', name, 0 FROM (VALUES ('invoice'), ('invoice_item'), ('sync_status')) v(name)""",
+    "o7_set_operations": """
+        SELECT DISTINCT customer_id FROM invoice WHERE customer_id IN (SELECT customer_id FROM quote)
+          AND customer_id NOT IN (SELECT customer_id FROM job WHERE status = 'new') ORDER BY customer_id LIMIT 1000""",
     "s9_sync_status": SYNC_STATUS + " SELECT * FROM sync_status",
     "s10_sync_log": SYNC_LOG
     + f""" SELECT *, {clock('started_at')} AS started_at_dt, {clock('finished_at')} AS finished_at_dt FROM sync_log""",
@@ -130,10 +144,7 @@ DOMAIN_SQL = {
     "p10_timestamps": f"""
         SELECT id, {MARK} + id * 3600 AS created_at, {clock(f'{MARK} + id * 3600')} AS created_at_dt FROM company""",
     "p11_json_text": """SELECT id, '["tech","é' || id || '"]' AS visibility FROM quote""",
-    "p16_children": """
-        SELECT i.id AS invoice_id, i.id * 10 + k.k AS id, 'item ' || k.k AS description, CAST(k.k AS DOUBLE) AS quantity,
-               CAST(k.k * k.k * 1.5 AS DOUBLE) AS subtotal, k.k % 3 AS service_line_id
-        FROM invoice i, (SELECT unnest(range(1, 4)) AS k) k WHERE k.k <= i.id % 4""",
+    "p16_children": ITEMS + " SELECT * EXCLUDE (price) FROM items",
     "p17_inline_choice": "SELECT COUNT(*) > 0 AS inline FROM invoice",
     "p20_sideload_enrich": SIDE
     + f""" SELECT r.id, {big('r.current_service_recurrence_id')} AS current_service_recurrence_id,

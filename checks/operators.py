@@ -98,6 +98,38 @@ def s6_default_floor(spark, sf_dir):
     return load.incremental(rows, floor, "currently_due")
 
 
+@operator
+def s8_load_feed(spark, sf_dir):
+    """Invoice pages through rules and upsert into stored tables; the embedded items are read back."""
+    return loaded(spark, sf_dir).store.read("invoice_item").select(
+        "invoice_id", "id", "description", "quantity", "price", "subtotal", "service_line_id"
+    )
+
+
+@operator
+def s12_reset(spark, sf_dir):
+    loader = loaded(spark, sf_dir)
+    before = stored_counts(loader, "before")
+    loader.reset("invoice")
+    return before.unionByName(stored_counts(loader, "after"))
+
+
+def loaded(spark, sf_dir) -> load.Loader:
+    loader = load.Loader(TableStore(spark, work_dir(spark, "load"), 8))
+    failed = [r.error for r in loader.load("invoice", feeds.invoice_pages(spark, sf_dir)) if r.error]
+    if failed:
+        raise RuntimeError(failed[0])
+    return loader
+
+
+def stored_counts(loader, moment: str) -> DataFrame:
+    counts = [
+        loader.store.read(n).agg(F.count(F.lit(1)).alias("records")).select(F.lit(moment).alias("moment"), F.lit(n).alias("name"), "records")
+        for n in ("invoice", "invoice_item", "sync_status")
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @on_tables
 def s9_sync_status(t):
     return sync_status(t)
@@ -433,6 +465,18 @@ def o4_mixed_sort(t):
     return t["job"].select("id", mixed_rank(number, as_text).cast("bigint").alias("rank"), number.alias("number"), as_text.alias("text"))
 
 
+@operator
+def o7_set_operations(spark, sf_dir):
+    tables = domain_tables(spark, sf_dir)
+    for name in ("invoice", "quote", "job"):
+        tables[name].createOrReplaceTempView(name)
+    return catalog.bounded_query(
+        spark,
+        "SELECT customer_id FROM invoice INTERSECT SELECT customer_id FROM quote"
+        " EXCEPT SELECT customer_id FROM job WHERE status = 'new' ORDER BY customer_id",
+    )
+
+
 # Documented queries ----------------------------------------------------------
 
 

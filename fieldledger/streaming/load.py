@@ -87,6 +87,8 @@ class Loader:
         feed, used when the embedded ones are incomplete.
         """
         table, started = schema.table_name(feed), self.clock()
+        if table not in schema.TABLE_COLUMNS:
+            return [self._log(Run(table, 0, 0, "skipped", "no table for this feed"), started, source, batch)]
         if feed in STATIC_FEEDS and not full and self.store.count(table) > 0:
             return [self._log(Run(table, 0, 0, "skipped"), started, source, batch)]
         try:

@@ -166,6 +166,7 @@ def test_static_feeds_load_once_and_failures_stay_apart(spark, tmp_path):
     assert loader.load("tag", tags)[0].status == "skipped"
     assert loader.load("tag", tags, full=True)[0].status == "success"
     assert loader.since("job") is None, "a failed load moves no mark"
+    assert loader.load("region", tags)[0].status == loader.load("servicerequestitem", tags)[0].status == "skipped"
 
 
 def test_recurrences_get_their_due_date(spark, tmp_path):
