@@ -6,13 +6,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldledger.functions import dates
-from fieldledger.sources import pages
 from fieldledger.sources.adapter import domain_tables
 
 PAGE = 200
 MARK = 946684800
 
 
+def make_pages(rows: DataFrame, key: str, name: str, size: int, side: dict[str, Column] | None = None) -> DataFrame:
+    """Pages of records taken ``size`` keys at a time, for feeds derived from tables.
+
+    A page holds the rows of one key range, so with unique keys its size is
+    bounded. ``side`` adds further lists, one element per row where not NULL.
+    """
+    page_of = lambda k: F.call_function("div", k, F.lit(size))
+    fields = F.struct(*[F.col(f"`{c}`") for c in rows.columns if not c.startswith("_")])
+    by_key = lambda c: F.transform(F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), c.alias("v")))), lambda e: e["v"])
+    lists = [by_key(fields).alias(name)]
+    for section_name, element in (side or {}).items():
+        lists.append(F.filter(by_key(element), lambda e: e.isNotNull()).alias(section_name))
+    last = rows.agg(page_of(F.max(key)) + 1).scalar()
+    grouped = rows.groupBy(page_of(F.col(key)).alias("page_no")).agg(*lists)
+    names = [name, *(side or {})]
+    data = F.struct(
+        *[F.col(f"`{n}`") for n in names], (F.col("page_no") + 1).alias("page"), F.lit(last).alias("totalPages"), F.lit(size).alias("pageSize")
+    )
+    meta = F.struct(F.struct(F.lit(60000).alias("resourceBalanceMs")).alias("stats"))
+    body = F.to_json(F.struct(data.alias("data"), meta.alias("meta")), {"ignoreNullFields": "false"})
+    return grouped.select(F.lit("").alias("pull"), body.alias("body"))
+
+
 def company_pages(spark, sf_dir: str) -> DataFrame:
     c = domain_tables(spark, sf_dir)["company"]
     rows = c.select(
@@ -39,7 +61,7 @@ def company_pages(spark, sf_dir: str) -> DataFrame:
         (F.lit(MARK) + F.col("id") * 3600).alias("created"),
         F.struct(F.col("id").cast("string").alias("books")).alias("externalIds"),
     )
-    return pages.make_pages(rows, "id", "companies", PAGE)
+    return make_pages(rows, "id", "companies", PAGE)
 
 
 def invoice_pages(spark, sf_dir: str) -> DataFrame:
@@ -68,7 +90,7 @@ def invoice_pages(spark, sf_dir: str) -> DataFrame:
         F.col("transaction_date").alias("transactionDate"),
         F.when(F.col("id") % 4 != 0, items).alias("items"),
     )
-    return pages.make_pages(rows, "id", "invoices", PAGE)
+    return make_pages(rows, "id", "invoices", PAGE)
 
 
 def quote_pages(spark, sf_dir: str) -> DataFrame:
@@ -82,7 +104,7 @@ def quote_pages(spark, sf_dir: str) -> DataFrame:
         F.array(F.lit("tech"), F.concat(F.lit("é"), F.col("id"))).alias("visibility"),
         F.lit(None).cast("bigint").alias("sales"),
     )
-    return pages.make_pages(rows, "id", "quotes", PAGE)
+    return make_pages(rows, "id", "quotes", PAGE)
 
 
 def side_record(key: Column) -> Column:
@@ -108,7 +130,7 @@ def recurrence_pages(spark, sf_dir: str) -> DataFrame:
         F.col("ends_on").alias("endsOn"),
     )
     side = {"serviceRequests": side_record(F.col("id"))}
-    return pages.make_pages(rows, "id", "serviceRecurrences", PAGE, side)
+    return make_pages(rows, "id", "serviceRecurrences", PAGE, side)
 
 
 def event_records(spark, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from fieldledger.functions import dates, text
 from fieldledger.operators import merge, normalize, profile, rules
 from fieldledger.operators.mixed_order import mixed_rank
 from fieldledger.operators.rules import Field
-from fieldledger.plans import catalog, field_work, next_service, quality
+from fieldledger.plans import catalog, field_work, quality
 from fieldledger.session import work_dir
 from fieldledger.sources import pages
 from fieldledger.sources.adapter import AS_OF, domain_tables

@@ -132,16 +132,6 @@ def rule_warnings(catalogue: DataFrame, feeds: Mapping[str, rules.Overrides] = r
     )
 
 
-def plan_rows(catalogue: Mapping[str, Mapping[str, rules.Profile]]) -> list[tuple]:
-    """Planned columns of profiled feeds: ``(feed, source, target, type, skipped)``."""
-    out = []
-    for feed, profiles in catalogue.items():
-        for f in rules.resource_plan(profiles, feed):
-            for target in list(f.spread.values()) or [f.target]:
-                out.append((feed, f.source, target, f.type, f.skip))
-    return out
-
-
 def catalogue_stats(catalogue: DataFrame, feeds: Mapping[str, rules.Overrides] = rules.FEEDS) -> DataFrame:
     """Feeds, fields and skipped fields of a catalogue ``(feed, field, api_type, keys)``."""
     spark = catalogue.sparkSession

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,16 +34,20 @@ class Report:
     name: str
     description: str
     build: Callable[[Mapping, Settings], DataFrame]
-    order: tuple[Column, ...] = field(default=())
+    order: tuple[str, ...] = ()
 
     def frame(self, tables: Mapping, settings: Settings, ordered: bool = False) -> DataFrame:
         """The report; ``ordered=True`` adds the display sort as the last step."""
         df = self.build(tables, settings)
         if ordered and self.order:
-            df = df.orderBy(*[o() if callable(o) else o for o in self.order])
+            df = df.orderBy(*[_sort_key(o) for o in self.order])
         return df.select(*[F.col(f"`{c}`") for c in df.columns if not c.startswith(SORT_PREFIX)])
 
 
+def _sort_key(name: str) -> Column:
+    return F.col(f"`{name[1:]}`").desc() if name.startswith("-") else F.col(f"`{name}`").asc()
+
+
 REPORTS: dict[str, Report] = {}
 
 
@@ -53,14 +57,8 @@ def report(name: str, description: str, *order: str):
     A builder may add ``_sort*`` columns that only serve the order.
     """
 
-    def keys() -> list:
-        return [
-            (lambda c=c: F.col(f"`{c[1:]}`").desc() if c.startswith("-") else F.col(f"`{c}`").asc())
-            for c in order
-        ]
-
     def register(build):
-        REPORTS[name] = Report(name, description, build, tuple(keys()))
+        REPORTS[name] = Report(name, description, build, order)
         return build
 
     return register

@@ -115,26 +115,3 @@ def paging_summary(pages: DataFrame) -> DataFrame:
         .withColumn("complete", F.col("pages_landed") == F.col("total_pages"))
         .where(F.col("total_pages") > 1)
     )
-
-
-def make_pages(rows: DataFrame, key: str, name: str, size: int, side: dict[str, Column] | None = None) -> DataFrame:
-    """Pages of records taken ``size`` keys at a time, for feeds derived from tables.
-
-    A page holds the rows of one key range, so with unique keys its size is
-    bounded. ``side`` adds further lists, one element per row where not NULL.
-    """
-    page_of = lambda k: F.call_function("div", k, F.lit(size))
-    fields = F.struct(*[F.col(f"`{c}`") for c in rows.columns if not c.startswith("_")])
-    by_key = lambda c: F.transform(F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), c.alias("v")))), lambda e: e["v"])
-    lists = [by_key(fields).alias(name)]
-    for section_name, element in (side or {}).items():
-        lists.append(F.filter(by_key(element), lambda e: e.isNotNull()).alias(section_name))
-    last = rows.agg(page_of(F.max(key)) + 1).scalar()
-    grouped = rows.groupBy(page_of(F.col(key)).alias("page_no")).agg(*lists)
-    names = [name, *(side or {})]
-    data = F.struct(
-        *[F.col(f"`{n}`") for n in names], (F.col("page_no") + 1).alias("page"), F.lit(last).alias("totalPages"), F.lit(size).alias("pageSize")
-    )
-    meta = F.struct(F.struct(F.lit(60000).alias("resourceBalanceMs")).alias("stats"))
-    body = F.to_json(F.struct(data.alias("data"), meta.alias("meta")), {"ignoreNullFields": "false"})
-    return grouped.select(F.lit("").alias("pull"), body.alias("body"))

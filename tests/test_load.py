@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from fieldledger import schema
 from fieldledger.operators import merge
-from fieldledger.sources import pages
 from fieldledger.sources.store import TableStore
 from fieldledger.streaming.load import Loader, incremental, stream_upserts
 

@@ -134,6 +134,31 @@ def test_v3_order_is_by_kind_then_value(both):
         assert days == sorted(days)
 
 
+ORDERS = {
+    "open_deficiencies": lambda r: ({"inoperable": 1, "deficient": 2}.get(r.severity, 3), *last(-r.days_open if r.days_open is not None else None)),
+    "revenue_monthly": lambda r: (flipped(r.year_month), *last(None if r.revenue is None else -r.revenue)),
+    "quote_acceptance": lambda r: -r.total_quotes,
+    "asset_inventory": lambda r: tuple((v is not None, v or "") for v in (r.customer, r.location, r.service_line, r.asset_type)),
+    "compliance_overdue": lambda r: -r.days_overdue,
+}
+
+
+def last(v):
+    return (v is None, v or 0)
+
+
+def flipped(text):
+    return [-ord(c) for c in text]
+
+
+@pytest.mark.parametrize("name", list(ORDERS))
+def test_ordered_reports(both, name):
+    """Display order; NULLs come first going up and last going down."""
+    rows = REPORTS[name].frame(both[0], SETTINGS, ordered=True).collect()
+    keys = [ORDERS[name](r) for r in rows]
+    assert keys == sorted(keys)
+
+
 def test_stored_tables_give_the_same(both, spark, tmp_path):
     tables, _ = both
     for name in ("invoice", "company"):
