@@ -101,11 +101,17 @@ def to_table(records: DataFrame, rules: Iterable[Field], table: str) -> DataFram
 
 
 def children(parents: DataFrame, parent_column: str, items: str = "items") -> DataFrame:
-    """One record per embedded child: ``(parent id, record)``; empty and missing lists give none."""
+    """One record per embedded child: ``(parent id, page, pos, item, record)``.
+
+    Page and position are the parent's, ``item`` counts within it. Empty and
+    missing lists give none.
+    """
     record = F.col("record")
     return parents.select(
         integer(record, "id").alias(parent_column),
-        F.explode(get(record, "array<variant>", items)).alias("record"),
+        "page",
+        "pos",
+        F.posexplode(get(record, "array<variant>", items)).alias("item", "record"),
     ).where(F.col(parent_column).isNotNull())
 
 
@@ -126,12 +132,13 @@ def embedded_is_complete(parents: DataFrame, items: str = "items") -> DataFrame:
 
 
 def choose_children(parents: DataFrame, parent_column: str, detail: DataFrame, items: str = "items") -> DataFrame:
-    """Embedded children when complete, else the landed detail feed ``(parent id, record)``.
+    """Embedded children when complete, else the landed detail feed.
 
+    ``detail`` has the parent id and the record, and ``page`` and ``pos`` if known.
     Both branches stay lazy: a scalar decides which one lets rows through.
     """
     inline = F.coalesce(embedded_is_complete(parents, items).scalar(), F.lit(False))
-    return children(parents, parent_column, items).where(inline).unionByName(detail.where(~inline))
+    return children(parents, parent_column, items).where(inline).unionByName(detail.where(~inline), allowMissingColumns=True)
 
 
 def enrich_due(recurrences: DataFrame, side: DataFrame) -> DataFrame:

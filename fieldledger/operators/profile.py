@@ -44,14 +44,18 @@ def kinds(records: DataFrame) -> DataFrame:
     return raw.select("at", "field", F.substring_index("raw", "<", 1).alias("kind"), "value")
 
 
-def field_profile(records: DataFrame) -> DataFrame:
-    """``(field, api_type)``: the type of each key's first value that is not null.
+def first_positions(records: DataFrame) -> DataFrame:
+    """``(field, kind, at)``: where each kind of value of a field comes first.
 
     Field names are few and hot; every task reduces them to one row per field
-    and kind before anything moves.
+    and kind, in hash aggregation, before anything moves.
     """
-    firsts = kinds(records).groupBy("field", "kind").agg(F.min("at").alias("at"))
-    named = firsts.withColumn("api_type", type_name(F.col("kind")))
+    return kinds(records).groupBy("field", "kind").agg(F.min("at").alias("at"))
+
+
+def field_profile(records: DataFrame) -> DataFrame:
+    """``(field, api_type)``: the type of each key's first value that is not null."""
+    named = first_positions(records).withColumn("api_type", type_name(F.col("kind")))
     known = F.when(F.col("api_type") != "unknown", F.col("at"))
     return named.groupBy("field").agg(F.coalesce(F.min_by("api_type", known), F.lit("unknown")).alias("api_type"))
 
@@ -60,17 +64,16 @@ def nested_keys(records: DataFrame) -> DataFrame:
     """``(field, api_type, keys)``: the profile, with the keys of the first object
     or of the first item of the first array; NULL where there are none.
 
-    Only the head of an array is kept as a sample, so a sample stays one object.
+    A first pass finds the positions that matter, a handful per field; only the
+    records at these positions are looked into. Of an array only the head is
+    kept, so a sample stays one object.
     """
+    places = first_positions(records).agg(F.collect_set("at")).scalar()
+    here = arrival(F.col("page"), F.col("pos"))
+    samples = kinds(records.where(F.array_contains(places, here)))
     value, kind = F.col("value"), F.col("kind")
     head = F.when(kind == "OBJECT", value).when(kind == "ARRAY", F.try_variant_get(value, "$[0]", "variant"))
-    firsts = (
-        kinds(records)
-        .withColumn("text", F.to_json(head))
-        .groupBy("field", "kind")
-        .agg(F.min("at").alias("at"), F.min_by("text", "at").alias("text"))
-    )
-    named = firsts.withColumn("api_type", type_name(kind))
+    named = samples.select("field", "at", type_name(kind).alias("api_type"), F.to_json(head).alias("text"))
     known = F.when(F.col("api_type") != "unknown", F.col("at"))
     seen = named.groupBy("field").agg(F.min_by(F.struct("api_type", "text"), known).alias("first"))
     return seen.select(

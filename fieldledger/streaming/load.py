@@ -83,8 +83,8 @@ class Loader:
     ) -> list[Run]:
         """One feed with its children. A failure is logged and ends only this feed.
 
-        ``details`` holds child records ``(parent id, record)`` from the child's own
-        feed, used when the embedded ones are incomplete.
+        ``details`` holds child records with their parent id (and ``page``, ``pos``)
+        from the child's own feed, used when the embedded ones are incomplete.
         """
         table, started = schema.table_name(feed), self.clock()
         if table not in schema.TABLE_COLUMNS:
@@ -117,17 +117,22 @@ class Loader:
         parent_column = f"{feed}_id"
         if details is None:
             details = self.spark.createDataFrame([], f"{parent_column} long, record variant")
-        chosen = normalize.choose_children(records, parent_column, details)
-        plan = self.plan(child, chosen.withColumn("page", F.lit(0)).withColumn("pos", F.lit(0)))
-        rows = normalize.normalize(chosen, plan, [parent_column])
-        ordered = rows.withColumns({"pull": F.lit(""), "page": F.col(parent_column), "pos": F.col("id")})
-        return self._store(schema.table_name(child), ordered, started, source, batch, None)
+        place = {c: F.coalesce(c, F.lit(0)) for c in ("page", "pos", "item")}
+        chosen = normalize.choose_children(records, parent_column, details).withColumns(place).persist()
+        try:
+            rows = normalize.normalize(chosen, self.plan(child, chosen), [parent_column, "page", "pos", "item"])
+            placed = rows.withColumn("pull", F.lit(""))
+            return self._store(schema.table_name(child), placed, started, source, batch, None)
+        finally:
+            chosen.unpersist()
 
     def _store(self, table, rows, started, source, batch, newer_by) -> Run:
         counts = rows.agg(F.count(F.lit(1)).alias("all"), F.count("id").alias("keyed")).first()
         order = [F.col("pull"), arrival(F.col("page"), F.col("pos"))]
-        wanted = schema.TABLE_COLUMNS[table].split()
-        kept = rows.select(*[c for c in rows.columns if c in wanted], "pull", "page", "pos")
+        if "item" in rows.columns:
+            order.append(F.col("item"))
+        wanted = {*schema.TABLE_COLUMNS[table].split(), "pull", "page", "pos", "item"}
+        kept = rows.select(*[c for c in rows.columns if c in wanted])
         changes = merge.last_arrivals(kept, "id", order).persist()
         try:
             self.store.upsert(table, changes, newer_by, source, batch)
