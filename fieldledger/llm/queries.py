@@ -103,7 +103,7 @@ ORACLES = {
         joined AS (SELECT conv_id, count(*) AS n_turns,
                           string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
                           coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '') AS loss,
-                          sum(length(role || text) + 22 + length(regexp_replace(role || text, '[^<\\[]', '', 'g'))) AS formatted_chars
+                          sum(length(role || text) + 20 + length(regexp_replace(role || text, '[^<\\[]', '', 'g'))) AS formatted_chars
                    FROM rows GROUP BY conv_id)
         SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
                CAST(formatted_chars AS BIGINT) AS formatted_chars FROM joined""",
@@ -112,10 +112,10 @@ ORACLES = {
         starts AS (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM words WHERE len(w) >= 35),
         windows AS (SELECT r, i, array_to_string(w[i:i + 34], ' ') AS t FROM starts),
         twice AS (SELECT t FROM windows GROUP BY t HAVING count(*) > 1),
-        gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS at FROM windows SEMI JOIN twice USING (t)),
-        lists AS (SELECT r, list(at) AS ats FROM gone GROUP BY r),
-        kept AS (SELECT doc_id, len(w) AS n_words, coalesce(len(ats), 0) AS n_removed,
-                        CASE WHEN ats IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(ats, i)) END AS k
+        gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS spot FROM windows SEMI JOIN twice USING (t)),
+        lists AS (SELECT r, list(spot) AS spots FROM gone GROUP BY r),
+        kept AS (SELECT doc_id, len(w) AS n_words, coalesce(len(spots), 0) AS n_removed,
+                        CASE WHEN spots IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(spots, i)) END AS k
                  FROM words LEFT JOIN lists USING (r))
         SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
                sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept""",
