@@ -30,6 +30,8 @@ LETTERS = 64
 LEAST_BLOCK = 3
 #: Letters that two signatures must share in a row (half of the shorter one, if that is less).
 COMMON = 7
+#: Ranges of doc_id for each partition: several, so that partitions get even shares of them.
+RANGES = 8
 _ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 _PART = 1 << 18  # bytes hashed at a time
 SCHEMA = (
@@ -130,12 +132,12 @@ def _under(value: Column, bounds: list) -> Column:
 def with_next(docs: DataFrame) -> DataFrame:
     """Rows dealt by ranges of doc_id and sorted; each range ends with the first row of the range after it.
 
-    Only range bounds and the first id of each range (one number per partition) reach the driver.
+    Only range bounds and the first id of each range (a few numbers per partition) reach the driver.
     """
     n = shuffle_width(docs.sparkSession)
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    shares = [i / n for i in range(1, n)]
-    bounds = ids.agg(F.percentile_approx("doc_id", shares, 10 * n)).first()[0] if shares else None
+    shares = [i / (RANGES * n) for i in range(1, RANGES * n)]
+    bounds = ids.agg(F.percentile_approx("doc_id", shares, 10 * RANGES * n)).first()[0]
     dealt = ids.withColumn("range", _under(F.col("doc_id"), sorted(set(bounds or []))))
     heads = {r[0]: r[1] for r in dealt.groupBy("range").agg(F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id"))).collect()}
     known = sorted(heads)
