@@ -2,8 +2,9 @@
 
 Grades 0, 1, 2: poor, well written but toxic, clean. All grades share one weight for each hashed
 feature of the text and differ in ordered thresholds: P(grade > k) = sigmoid(score - threshold k).
-Features are the sets of lower-cased words, of their trailing marks and of their letter shapes, over
-the whole text. The model is fitted on a bounded sample of rated documents, ``SAMPLE`` of each grade
+Features are the sets of lower-cased words, of their first letters, trailing marks and letter shapes, and
+how much the words repeat, over the whole text. A feature's value is its log odds between the top grade
+and the others, over the root of the document's number of features. The model is fitted on a bounded sample of rated documents, ``SAMPLE`` of each grade
 in expectation and never more than three times that; prediction reads only the text.
 
 Null and empty texts have no feature and get the score 0. Documents without rating only do not train;
@@ -17,6 +18,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from itertools import chain
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,9 @@ LOG2_FEATURES = 18
 SAMPLE = 4000
 GRADES = 3
 EPOCHS = 8
-#: A feature counts if so many sampled documents have it; rarer ones tell documents, not grades.
-LEAST_DOCS = 4
+#: Documents added to each side before log odds are taken, so that rare features stay small.
+SMOOTHING = 20
+PREFIXES = (4, 5, 6)
 KEEP_AT = 0.5
 _PARTS = re.compile(rb"^(.*?)([^0-9A-Za-z\x80-\xff]*)$", re.S)
 RESULT = ("expected_grade", "p_above_0", "p_above_1", "keep")
@@ -48,6 +51,7 @@ def word_features(word: bytes) -> tuple[int, ...]:
         names.append(b"s upper")
     if any(c.isdigit() for c in letters):
         names.append(b"s digit")
+    names += [b"p%d " % n + letters[:n].lower().encode() for n in PREFIXES if len(letters) > n]
     return tuple(xxhash.xxh64_intdigest(x) & ((1 << LOG2_FEATURES) - 1) for x in names)
 
 
@@ -60,8 +64,22 @@ class _Features(dict):
 
 
 def features(text: bytes | None, known: _Features) -> np.ndarray:
-    words = set((text or b"").split())
-    return np.unique(np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int32))
+    words = (text or b"").split()
+    distinct = set(words)
+    index = np.fromiter(chain.from_iterable(map(known.__getitem__, distinct)), np.int32)
+    if len(words) > 1:
+        echoes = sum(map(eq, words, words[1:])) / len(words)
+        index = np.append(index, _shape(b"echoes", min(4, int(echoes * 20))))
+        index = np.append(index, _shape(b"variety", int(8 * len(distinct) / len(words))))
+    return np.unique(index).astype(np.int32)
+
+
+def _shape(name: bytes, level: int) -> int:
+    return xxhash.xxh64_intdigest(b"d %s %d" % (name, level)) & ((1 << LOG2_FEATURES) - 1)
+
+
+def _root(rows: list[np.ndarray]) -> np.ndarray:
+    return np.sqrt(np.maximum(1, np.array([len(r) for r in rows], float)))
 
 
 class OrdinalModel:
@@ -74,14 +92,16 @@ class OrdinalModel:
         """P(grade > k) for k = 0 .. GRADES - 2."""
         return 1 / (1 + np.exp(-np.clip(scores[:, None] - self.thresholds[None, :], -30, 30)))
 
-    def fit(self, rows: list[np.ndarray], grades: np.ndarray, epochs: int = EPOCHS, rate: float = 0.2, seed: int = 0) -> None:
+    def fit(self, rows: list[np.ndarray], grades: np.ndarray, epochs: int = EPOCHS, rate: float = 0.5, seed: int = 0) -> None:
         """AdaGrad on the log likelihood of the grades; steps between thresholds stay positive."""
         if len(set(grades.tolist())) < 2:
             return
-        df = np.bincount(np.concatenate(rows), minlength=len(self.weights))
-        usable = df >= LEAST_DOCS
-        rows = [r[usable[r]] for r in rows]
-        draw, w = np.random.default_rng(seed), self.weights
+        draw, w = np.random.default_rng(seed), np.zeros(len(self.weights))
+        top, sides = grades == GRADES - 1, []
+        for side in (top, ~top):
+            held = np.concatenate([np.zeros(0, np.int32), *[r for r, s in zip(rows, side, strict=True) if s]])
+            sides.append(np.log((np.bincount(held, minlength=len(w)) + SMOOTHING) / (side.sum() + SMOOTHING)))
+        odds, root = sides[0] - sides[1], _root(rows)
         start, steps = -0.5, np.full(GRADES - 2, 0.0)  # thresholds: start, then + exp(step)
         seen_w, seen_t = np.full(len(w), 1e-6), np.full(GRADES - 1, 1e-6)
         for _ in range(epochs):
@@ -91,7 +111,8 @@ class OrdinalModel:
                 index = np.concatenate([rows[i] for i in pick]) if len(pick) else np.zeros(0, np.int32)
                 owner = np.repeat(np.arange(len(pick)), [len(rows[i]) for i in pick])
                 self.thresholds = np.concatenate([[start], start + np.cumsum(np.exp(steps))])
-                scores = np.bincount(owner, w[index], len(pick))
+                value = odds[index] / root[pick][owner]
+                scores = np.bincount(owner, w[index] * value, len(pick))
                 above = np.hstack([np.ones((len(pick), 1)), self.above(scores), np.zeros((len(pick), 1))])
                 y = grades[pick]
                 rows_at = np.arange(len(pick))
@@ -102,16 +123,20 @@ class OrdinalModel:
                 d_threshold = np.zeros(GRADES - 1)
                 for k in range(GRADES - 1):
                     d_threshold[k] = ((y == k + 1) * slope_high / p - (y == k) * slope_low / p).sum() / len(pick)
-                g = np.bincount(index, d_score[owner], len(w)) + 1e-5 * w
+                g = np.bincount(index, d_score[owner] * value, len(w)) + 1e-6 * w
                 seen_w += g * g
-                w -= (rate * g / np.sqrt(seen_w)).astype(np.float32)
+                w -= rate * g / np.sqrt(seen_w)
                 g_t = np.concatenate([[d_threshold.sum()], np.cumsum(d_threshold[::-1])[::-1][1:] * np.exp(steps)])
                 seen_t += g_t * g_t
                 start -= rate * g_t[0] / np.sqrt(seen_t[0])
                 steps -= rate * g_t[1:] / np.sqrt(seen_t[1:])
         self.thresholds = np.concatenate([[start], start + np.cumsum(np.exp(steps))])
+        self.weights = (w * odds).astype(np.float32)
         self.fitted = True
 
+    def scores(self, rows: list[np.ndarray]) -> np.ndarray:
+        return np.array([self.weights[r].sum(dtype=np.float64) for r in rows], np.float64) / _root(rows)
+
 
 def graded(labels: DataFrame) -> DataFrame:
     """doc_id, grade of the rows of ``labels`` (quality, toxic) that have a quality."""
@@ -163,7 +188,7 @@ def score(docs: DataFrame, model: OrdinalModel, keep_at: float = KEEP_AT) -> Dat
         model.weights, model.thresholds, model.fitted = shared.value
         for batch in batches:
             texts = batch.column(text_at).cast(pa.binary())
-            scores = np.array([model.weights[features(x.as_py(), known)].sum(dtype=np.float64) for x in texts], np.float64)
+            scores = model.scores([features(x.as_py(), known) for x in texts])
             above = model.above(scores) if model.fitted else np.ones((len(scores), GRADES - 1))
             made = [above.sum(1), above[:, 0], above[:, 1], above[:, 1] >= keep_at]
             yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, made)], [*batch.schema.names, *RESULT])
