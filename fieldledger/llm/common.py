@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +31,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Like ``cut``, as a Parquet table beside the checkpoints: columns compressed and read as needed."""
+    path = work_dir(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -56,16 +63,40 @@ class WordCodes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def word_hashes(seed: int = 0) -> WordCodes:
-    return WordCodes(lambda word: xxhash.xxh64_intdigest(word, seed))
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     """Spreads uint64 values, so that comparing them is an arbitrary but fixed order."""
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     return h ^ (h >> np.uint64(29))
 
 
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_BLANKS = re.compile(rb"[\x09-\x0d\x20]")
+_PART = 1 << 18
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hashes of the words of a text, from its bytes and without making the words."""
+    if len(text) <= _PART:
+        return _hashes(np.frombuffer(text, np.uint8))
+    found, at = [], 0
+    while at < len(text):  # parts end at a blank
+        blank = _BLANKS.search(text, min(len(text), at + _PART))
+        end = blank.end() if blank else len(text)
+        found.append(_hashes(np.frombuffer(text[at:end], np.uint8)))
+        at = end
+    return np.concatenate(found)
+
+
+def _hashes(data: np.ndarray) -> np.ndarray:
+    inside = np.zeros(len(data) + 2, bool)
+    np.logical_not(_BLANK[data], out=inside[1:-1])
+    turns = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = turns[::2], turns[1::2]
+    sums = RangeHash(data.astype(np.uint64) + np.uint64(1), 0xC2B2AE3D27D4EB4F)
+    return mixed(sums.of(start, end) ^ ((end - start).astype(np.uint64) << np.uint64(40)))
+
+
 class RangeHash:
     """Polynomial hashes of any word range of one sequence in constant time each.
 

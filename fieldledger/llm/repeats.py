@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldledger.llm.common import RangeHash, bitmap, cut, in_bitmap, mixed, signed, word_hashes
+from fieldledger.llm.common import RangeHash, bitmap, in_bitmap, mixed, signed, word_hashes, written
 
 K = 35
 GRAM = 8
@@ -40,16 +40,16 @@ _SECOND_BASE = 0xD1B54A32D192ED03
 
 
 class Windows:
-    """Windows and anchors of one document's words."""
+    """Windows and anchors of one document."""
 
-    def __init__(self, words: list[bytes], codes, k: int = K) -> None:
-        self.k, self.codes = k, codes.array(words)
-        self.n = max(0, len(words) - k + 1)
+    def __init__(self, text: bytes | None, k: int = K) -> None:
+        self.k, self.codes = k, word_hashes(text or b"")
+        self.n = max(0, len(self.codes) - k + 1)
         if not self.n:
             self.anchor_of = self.anchors = np.zeros(0, np.int64)
             return
         self.ranges = RangeHash(self.codes)
-        at = np.arange(len(words) - GRAM + 1)
+        at = np.arange(len(self.codes) - GRAM + 1)
         self.grams = self.ranges.of(at, at + GRAM)
         # leftmost least gram of each window: doubling steps over the least of 1, 2, 4 ... grams
         rank, best, width, span = mixed(self.grams), at, 1, k - GRAM + 1
@@ -82,12 +82,11 @@ def _scan(docs: DataFrame, schema: str, k: int, emit) -> DataFrame:
     names = ["doc_id", "text_hash", *[x.split()[0] for x in schema.split(", ")]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = word_hashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, found, keys = batch.slice(at, 256), [], []
                 for i, text in enumerate(part.column(2)):
-                    columns = emit(Windows((text.as_py() or b"").split(), codes, k))
+                    columns = emit(Windows(text.as_py(), k))
                     found.append(columns)
                     keys.append(np.full(len(columns[0]), i))
                 take = pa.array(np.concatenate(keys))
@@ -116,8 +115,8 @@ def repeated_places(docs: DataFrame, k: int = K, bits: int = BITS) -> DataFrame:
         at = w.anchors[in_bitmap(first.value, w.grams[w.anchors])]
         return [signed(w.grams[at]), signed(w.edges(at)), at.astype(np.int32)]
 
-    places = cut(_scan(docs, "anchor long, edge long, at int", k, edge_rows))
-    edges = cut(places.groupBy("anchor", "edge").agg(F.count(F.lit(1)).alias("n")))
+    places = written(_scan(docs, "anchor long, edge long, at int", k, edge_rows))
+    edges = written(places.groupBy("anchor", "edge").agg(F.count(F.lit(1)).alias("n")))
     solid = places.join(edges.where("n > 1"), ["anchor", "edge"]).select("doc_id", "text_hash", "at", F.lit(True).alias("solid"))
 
     second = shared(bitmap(_twice(edges.select("anchor"), "anchor"), "anchor", bits))
@@ -129,7 +128,7 @@ def repeated_places(docs: DataFrame, k: int = K, bits: int = BITS) -> DataFrame:
         one, two = w.hashes(at)
         return [signed(one), signed(two), at.astype(np.int32)]
 
-    windows = cut(_scan(docs, "one long, two long, at int", k, window_rows))
+    windows = written(_scan(docs, "one long, two long, at int", k, window_rows))
     same = windows.join(_twice(windows, "one", "two"), ["one", "two"]).select("doc_id", "text_hash", "at", F.lit(False).alias("solid"))
     at = F.col("at")
     return (
@@ -150,7 +149,6 @@ def without_repeats(docs: DataFrame, k: int = K, bits: int = BITS) -> DataFrame:
     schema = "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = word_hashes()
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 out = []
@@ -159,7 +157,7 @@ def without_repeats(docs: DataFrame, k: int = K, bits: int = BITS) -> DataFrame:
                     removed = 0
                     kept = words
                     if anchors.is_valid:
-                        w = Windows(words, codes, k)
+                        w = Windows(text.as_py(), k)
                         hit = np.isin(w.anchor_of, np.array(anchors.as_py(), np.int64))
                         hit[np.array(windows.as_py(), np.int64)] = True
                         steps = np.zeros(len(words) + 1, np.int64)
