@@ -117,19 +117,23 @@ def repeated_places(docs: DataFrame, k: int = K, bits: int = BITS) -> DataFrame:
 
     places = written(_scan(docs, "anchor long, edge long, at int", k, edge_rows))
     edges = written(places.groupBy("anchor", "edge").agg(F.count(F.lit(1)).alias("n")))
-    solid = places.join(edges.where("n > 1"), ["anchor", "edge"]).select("doc_id", "text_hash", "at", F.lit(True).alias("solid"))
+    solid = places.join(edges.where("n > 1").drop("n"), ["anchor", "edge"]).select("doc_id", "text_hash", "at", F.lit(True).alias("solid"))
 
-    second = shared(bitmap(_twice(edges.select("anchor"), "anchor"), "anchor", bits))
+    branching = _twice(edges.select("anchor"), "anchor").select("anchor")
+    second = shared(bitmap(branching, "anchor", bits))
+    # windows on an edge that is surely none of these are known to repeat: they only count as the others' equals
+    third = shared(bitmap(edges.where("n = 1").join(branching, "anchor"), "edge", bits))
 
     def window_rows(w: Windows) -> list[np.ndarray]:
         if not w.n:
-            return [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+            return [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)]
         at = np.flatnonzero(in_bitmap(second.value, w.grams[w.anchor_of]))
         one, two = w.hashes(at)
-        return [signed(one), signed(two), at.astype(np.int32)]
+        return [signed(one), signed(two), at.astype(np.int32), in_bitmap(third.value, w.edges(w.anchor_of[at]))]
 
-    windows = written(_scan(docs, "one long, two long, at int", k, window_rows))
-    same = windows.join(_twice(windows, "one", "two"), ["one", "two"]).select("doc_id", "text_hash", "at", F.lit(False).alias("solid"))
+    windows = written(_scan(docs, "one long, two long, at int, asked boolean", k, window_rows))
+    asked = windows.where("asked").drop("asked")
+    same = asked.join(_twice(windows, "one", "two").drop("n"), ["one", "two"]).select("doc_id", "text_hash", "at", F.lit(False).alias("solid"))
     at = F.col("at")
     return (
         solid.unionByName(same)
