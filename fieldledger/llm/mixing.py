@@ -28,7 +28,7 @@ REPEAT = 2.0
 #: Weight at the start and at the end of training, relative to the mean, by source in turn.
 SCHEDULES = ((1.5, 0.5), (0.5, 1.5), (1.0, 1.0))
 #: Documents for each slice in which a source's running total is kept.
-SLICE_DOCS = 50_000
+SLICE_DOCS = 5_000
 #: Up to so many sources, their one-row-each table is broadcast; beyond, it is joined by shuffle.
 MANY_SOURCES = 10_000
 
