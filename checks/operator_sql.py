@@ -114,7 +114,7 @@ DOMAIN_SQL = {
           UNION ALL SELECT 'after', name, 0 FROM (VALUES ('invoice'), ('invoice_item'), ('sync_status')) v(name)""",
     "o7_set_operations": """
         SELECT DISTINCT customer_id FROM invoice WHERE customer_id IN (SELECT customer_id FROM quote)
-          AND customer_id NOT IN (SELECT customer_id FROM job WHERE status = 'new') ORDER BY customer_id LIMIT 1000""",
+          AND customer_id NOT IN (SELECT customer_id FROM job WHERE status = 'new') ORDER BY customer_id""",
     "s9_sync_status": SYNC_STATUS + " SELECT * FROM sync_status",
     "s10_sync_log": SYNC_LOG
     + f""" SELECT *, {clock('started_at')} AS started_at_dt, {clock('finished_at')} AS finished_at_dt FROM sync_log""",
@@ -170,7 +170,7 @@ DOMAIN_SQL = {
     "d10_whole_days": f"""
         SELECT id, {days(f'{NOW} - due_date - id % 86400')} AS late_days, id % 5 * 30 AS cadence FROM invoice""",
     "d17_label": """
-        , noted AS (SELECT id, CASE WHEN id % 4 = 0 THEN substr(description, 1, 11 + id % 7) ELSE description END AS d
+        , noted AS (SELECT id, CASE WHEN id % 4 = 0 THEN description || 'x' || id ELSE description END AS d
                     FROM service_recurrence)
         SELECT id, CASE WHEN instr(substr(d, 12), 'x') > 0 THEN split_part(substr(d, 12), 'x', 1) ELSE substr(d, 11, 1) END AS label
         FROM noted""",
@@ -218,15 +218,15 @@ DOMAIN_SQL = {
         FROM service_request q, service_recurrence v
         WHERE v.id = q.service_recurrence_id AND v.description LIKE 'Primary%'""",
     "x8_duplicates_by_description": HOODS.format(prefix="primary")
-    + """ SELECT id AS recurrence_id, company_name, location_name, substr(description, 1, 20) AS description,
-                 COUNT(*) OVER (PARTITION BY company_name, location_name, substr(description, 1, 20)) AS copies
-          FROM hood QUALIFY copies > 1""",
+    + """ SELECT id AS recurrence_id, company_name, location_name, description,
+                 COUNT(*) OVER (PARTITION BY company_name, location_name, description) AS copies
+          FROM (SELECT * FROM hood UNION ALL SELECT * REPLACE (-id AS id) FROM hood WHERE id % 3 = 0) QUALIFY copies > 1""",
     "x9_closed_on_open_job": """
         SELECT q.id AS service_id, q.job_id, j.status AS job_status, j.scheduled_date
         FROM service_request q, job j WHERE j.id = q.job_id AND q.status = 'closed' AND j.status <> 'completed'""",
     "x10_failed_loads": SYNC_LOG + " SELECT id, resource, started_at, error_message FROM sync_log WHERE status = 'failed'",
     "x10_latest_loads": SYNC_LOG
-    + " SELECT id, resource, status, records_fetched FROM sync_log ORDER BY id DESC LIMIT 20",
+    + " SELECT id, resource, status, records_fetched FROM sync_log ORDER BY started_at DESC, id DESC LIMIT 20",
 }
 
 PLAIN_SQL = {

@@ -423,7 +423,7 @@ def d10_whole_days(t):
 
 @on_tables
 def d17_label(t):
-    noted = F.when(C("id") % 4 == 0, F.substring(C("description"), 1, 11 + (C("id") % 7).cast("int"))).otherwise(C("description"))
+    noted = F.when(C("id") % 4 == 0, F.concat(C("description"), F.lit("x"), C("id").cast("string"))).otherwise(C("description"))
     return t["service_recurrence"].select("id", text.label(noted).alias("label"))
 
 
@@ -470,11 +470,11 @@ def o7_set_operations(spark, sf_dir):
     tables = domain_tables(spark, sf_dir)
     for name in ("invoice", "quote", "job"):
         tables[name].createOrReplaceTempView(name)
-    return catalog.bounded_query(
-        spark,
+    statement = (
         "SELECT customer_id FROM invoice INTERSECT SELECT customer_id FROM quote"
-        " EXCEPT SELECT customer_id FROM job WHERE status = 'new' ORDER BY customer_id",
+        " EXCEPT SELECT customer_id FROM job WHERE status = 'new' ORDER BY customer_id"
     )
+    return spark.sql(catalog.select_only(spark, statement))
 
 
 # Documented queries ----------------------------------------------------------
@@ -521,9 +521,12 @@ def x8_duplicates_by_description(t):
 
 
 def shared_descriptions(t):
-    """The tables with descriptions cut to their label, so that some repeat."""
-    cut = t["service_recurrence"].withColumn("description", F.substring("description", 1, 20))
-    return t.with_table("service_recurrence", cut)
+    """The tables with every third recurrence entered once more under a new id."""
+    stored = t["service_recurrence"]
+    again = stored.where(C("id") % 3 == 0).withColumns(
+        {"id": -C("id"), "current_service_recurrence_id": -C("current_service_recurrence_id")}
+    )
+    return t.with_table("service_recurrence", stored.unionByName(again))
 
 
 @on_tables

@@ -18,13 +18,22 @@ PACIFIC = "America/Los_Angeles"
 CADENCE_DAYS = {"weekly": 7, "monthly": 30, "yearly": 365}
 
 
+# Years 1 to 9999, in which dates can be written; other seconds are no date.
+FIRST_SECOND, LAST_SECOND = -62135596800, 253402300799
+
+
+def within(ts: Column) -> Column:
+    """NULL for seconds outside the years that dates can have."""
+    return F.when(ts.between(FIRST_SECOND, LAST_SECOND), ts)
+
+
 def utc_date(ts: Column) -> Column:
-    return F.date_from_unix_date(F.floor(ts / DAY).cast("int"))
+    return F.date_from_unix_date(F.floor(within(ts) / DAY).cast("int"))
 
 
 def local_seconds(ts: Column, tz: str) -> Column:
     """Wall-clock seconds of an instant in ``tz``."""
-    return F.unix_seconds(F.from_utc_timestamp(F.timestamp_seconds(ts), tz))
+    return F.unix_seconds(F.from_utc_timestamp(F.timestamp_seconds(within(ts)), tz))
 
 
 def local_date(ts: Column, tz: str) -> Column:

@@ -100,15 +100,21 @@ def to_table(records: DataFrame, rules: Iterable[Field], table: str) -> DataFram
     return schema.conform(normalize(records, rules), table)
 
 
+def pull_order(pull: Column) -> Column:
+    """Pulls in order: numbers by value, other names by text, which holds for ISO dates."""
+    return F.struct(pull.try_cast("decimal(38,0)").alias("number"), pull.alias("name"))
+
+
 def children(parents: DataFrame, parent_column: str, items: str = "items") -> DataFrame:
     """One record per embedded child: ``(parent id, page, pos, item, record)``.
 
-    Page and position are the parent's, ``item`` counts within it. Empty and
+    Pull, page and position are the parent's, ``item`` counts within it. Empty and
     missing lists give none.
     """
     record = F.col("record")
     return parents.select(
         integer(record, "id").alias(parent_column),
+        *[c for c in ("pull",) if c in parents.columns],
         "page",
         "pos",
         F.posexplode(get(record, "array<variant>", items)).alias("item", "record"),
@@ -131,12 +137,14 @@ def embedded_is_complete(parents: DataFrame, items: str = "items") -> DataFrame:
     return first_child_keys(parents, items).select((F.size("keys") > 4).alias("inline"))
 
 
-def choose_children(parents: DataFrame, parent_column: str, detail: DataFrame, items: str = "items") -> DataFrame:
-    """Embedded children when complete, else the landed detail feed.
+def choose_children(parents: DataFrame, parent_column: str, detail: DataFrame | None, items: str = "items") -> DataFrame:
+    """Embedded children when complete or when there is no detail feed, else the landed detail feed.
 
     ``detail`` has the parent id and the record, and ``page`` and ``pos`` if known.
     Both branches stay lazy: a scalar decides which one lets rows through.
     """
+    if detail is None:
+        return children(parents, parent_column, items)
     inline = F.coalesce(embedded_is_complete(parents, items).scalar(), F.lit(False))
     return children(parents, parent_column, items).where(inline).unionByName(detail.where(~inline), allowMissingColumns=True)
 
@@ -148,6 +156,8 @@ def enrich_due(recurrences: DataFrame, side: DataFrame) -> DataFrame:
     by its negated id. The last one in arrival order wins, even with a NULL start.
     """
     record, at = F.col("record"), arrival(F.col("page"), F.col("pos"))
+    if "pull" in side.columns:
+        at = F.struct(pull_order(F.col("pull")).alias("pull"), at.alias("place"))
     own = integer(record, "id")
     named = F.array_compact(F.array(integer(record, "serviceRecurrence"), F.when(own < 0, -own)))
     due = (

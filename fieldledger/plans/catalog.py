@@ -37,7 +37,7 @@ def select_only(spark: SparkSession, sql: str) -> str:
     try:
         spark.sql(f"SELECT * FROM (\n{text}\n) AS checked")
     except Exception as error:
-        raise ValueError(f"not a query: {str(error).splitlines()[0]}") from error
+        raise ValueError(f"not a query: {str(error)}") from error
     return text
 
 
@@ -147,5 +147,5 @@ class ReportCatalog:
                 self._register(row["name"], row["description"], select_only(self.spark, row["body"]), row["created_at"])
                 done.append(row["name"])
             except Exception as error:  # noqa: BLE001 - a broken file must not stop the others
-                errors[row["name"]] = str(error).splitlines()[0]
+                errors[row["name"]] = str(error)
         return done, errors

@@ -164,8 +164,8 @@ def failed_loads(log: DataFrame) -> DataFrame:
 
 
 def latest_loads(log: DataFrame, n: int = 20) -> DataFrame:
-    """The last n log rows; a sort with a limit keeps n rows per task."""
-    return log.orderBy(C("id").desc()).limit(n)
+    """The last n log rows by start; a sort with a limit keeps n rows per task."""
+    return log.orderBy(C("started_at").desc(), C("id").desc()).limit(n)
 
 
 def run_summary(log: DataFrame) -> DataFrame:

@@ -98,6 +98,27 @@ def side_sections(pages: DataFrame, feed: str) -> DataFrame:
     )
 
 
+def incomplete_pulls(pages: DataFrame) -> DataFrame:
+    """``(pull, total_pages, pages_landed)`` of pulls that announce more pages than have landed."""
+    total = F.max(F.try_variant_get(F.col("data"), "$.totalPages", "bigint"))
+    return (
+        opened(pages)
+        .groupBy("pull")
+        .agg(total.alias("total_pages"), F.count_distinct("page").alias("pages_landed"))
+        .where(F.col("total_pages") > F.col("pages_landed"))
+    )
+
+
+def check(pages: DataFrame, whole: bool = True) -> None:
+    """Raise for pages that are no JSON the engine can hold and, for ``whole`` pulls, for missing ones."""
+    unread = opened(pages).where(F.col("data").isNull() & (F.trim("body") != "")).count()
+    if unread:
+        raise ValueError(f"{unread} pages cannot be read: broken, with a repeated key, or too large")
+    missing = incomplete_pulls(pages).count() if whole else 0
+    if missing:
+        raise ValueError(f"{missing} pulls have fewer pages than they announce")
+
+
 def paging_summary(pages: DataFrame) -> DataFrame:
     """Pages, records and page size a pull announces; only for pulls of several pages."""
 

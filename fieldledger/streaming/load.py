@@ -84,7 +84,9 @@ class Loader:
         """One feed with its children. A failure is logged and ends only this feed.
 
         ``details`` holds child records with their parent id (and ``page``, ``pos``)
-        from the child's own feed, used when the embedded ones are incomplete.
+        from the child's own feed, used when the embedded ones are incomplete;
+        without it, embedded ones are kept as they are. A page that cannot be read, or
+        a pull with fewer pages than it announces, fails the run and moves no mark.
         """
         table, started = schema.table_name(feed), self.clock()
         if table not in schema.TABLE_COLUMNS:
@@ -92,6 +94,7 @@ class Loader:
         if feed in STATIC_FEEDS and not full and self.store.count(table) > 0:
             return [self._log(Run(table, 0, 0, "skipped"), started, source, batch)]
         try:
+            page_source.check(pages, whole=batch is None)
             records = page_source.records(pages, feed)
             if feed == "servicerecurrence":
                 records = normalize.enrich_due(records, page_source.section(pages, DUE_SECTION))
@@ -105,7 +108,7 @@ class Loader:
             finally:
                 records.unpersist()
         except Exception as error:  # noqa: BLE001 - one feed must not stop the others
-            return [self._log(Run(table, 0, 0, "failed", str(error)[:2000]), started, source, batch)]
+            return [self._log(Run(table, 0, 0, "failed", str(error)), started, source, batch)]
 
     def _put(self, feed, table, records, started, source, batch, newer_by) -> Run:
         plan = self.plan(feed, records)
@@ -115,22 +118,23 @@ class Loader:
 
     def _children(self, feed, child, records, details, started, source, batch) -> Run:
         parent_column = f"{feed}_id"
-        if details is None:
-            details = self.spark.createDataFrame([], f"{parent_column} long, record variant")
         place = {c: F.coalesce(c, F.lit(0)) for c in ("page", "pos", "item")}
         chosen = normalize.choose_children(records, parent_column, details).withColumns(place).persist()
         try:
-            rows = normalize.normalize(chosen, self.plan(child, chosen), [parent_column, "page", "pos", "item"])
-            placed = rows.withColumn("pull", F.lit(""))
+            chosen = chosen if "pull" in chosen.columns else chosen.withColumn("pull", F.lit(""))
+            rows = normalize.normalize(chosen, self.plan(child, chosen), [parent_column, "pull", "page", "pos", "item"])
+            placed = rows.withColumn("pull", F.coalesce("pull", F.lit("")))
             return self._store(schema.table_name(child), placed, started, source, batch, None)
         finally:
             chosen.unpersist()
 
     def _store(self, table, rows, started, source, batch, newer_by) -> Run:
         counts = rows.agg(F.count(F.lit(1)).alias("all"), F.count("id").alias("keyed")).first()
-        order = [F.col("pull"), arrival(F.col("page"), F.col("pos"))]
+        order = [normalize.pull_order(F.col("pull")), arrival(F.col("page"), F.col("pos"))]
         if "item" in rows.columns:
             order.append(F.col("item"))
+        if newer_by:
+            order.insert(0, F.col(newer_by))
         wanted = {*schema.TABLE_COLUMNS[table].split(), "pull", "page", "pos", "item"}
         kept = rows.select(*[c for c in rows.columns if c in wanted])
         changes = merge.last_arrivals(kept, "id", order).persist()
@@ -162,11 +166,14 @@ class Loader:
         self.store.upsert("sync_log", row.withColumn("id", identity))
         return run
 
-    def load_all(self, feeds: Mapping[str, DataFrame], full: bool = False) -> list[Run]:
-        """Every feed that has pages: the static ones, then the rest in order."""
+    def load_all(self, feeds: Mapping[str, DataFrame], full: bool = False, details: Mapping[str, DataFrame] | None = None) -> list[Run]:
+        """Every feed that has pages: the static ones, then the rest in order.
+
+        ``details`` holds, by parent feed, the child records of its detail feed.
+        """
         known = [f for f in (*STATIC_FEEDS, *FEED_ORDER) if f in feeds]
         others = [f for f in feeds if f not in known]
-        return [run for feed in known + others for run in self.load(feed, feeds[feed], full)]
+        return [run for feed in known + others for run in self.load(feed, feeds[feed], full, details=(details or {}).get(feed))]
 
     def reset(self, table: str) -> None:
         """Empty a table, its children and their marks; the next load fetches everything."""
