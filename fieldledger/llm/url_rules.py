@@ -61,7 +61,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", prefix_hex
     urls = pages.select("url").where(F.col("url").contains("://")).distinct().select("url", host.alias("host"), path.alias("path"))
     labels = F.size(F.split("host", r"\."))
     expressions = (
-        urls.crossJoin(F.broadcast(shapes))  # one row: the array of shapes
+        urls.withColumn("shapes", shapes.scalar())
         .select("url", labels.alias("n"), F.length("path").alias("m"), "host", "path", F.explode("shapes").alias("shape"))
         .where((F.col("n") >= F.col("shape.labels")) & (F.col("m") >= F.col("shape.path_length")))
         .select(
