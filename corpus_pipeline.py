@@ -23,8 +23,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of the smallest doc_id, of each SimHash group."""
-    return simhash.keep_one(docs).select(*COLUMNS)
+    """One document, the one of the smallest doc_id, of each group of similar documents (five words, 0.8)."""
+    return simhash.keep_one(docs, simhash.similar_documents(docs)).select(*COLUMNS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
