@@ -124,15 +124,16 @@ def revenue_by_customer(t, s) -> DataFrame:
 
 @report("revenue_monthly", "Revenue per month and service line", "-year_month", "-revenue")
 def revenue_monthly(t, s) -> DataFrame:
-    # One row per (invoice, line) first: the distinct invoice count becomes a
-    # plain count, and an invoice with very many items shrinks before it moves.
-    lined = lookup(t["invoice_item"], t["service_line"], "service_line_id", {"name": "line_name"}, "left")
-    per_invoice = lined.groupBy("invoice_id", F.coalesce(C("line_name"), F.lit("Unassigned")).alias("service_line")).agg(
-        F.sum("subtotal").alias("amount")
-    )
+    # Items shrink to one row per (invoice, line) on bare keys before they move, so neither an
+    # invoice of very many items nor a line that most items have fills a task. They meet their
+    # invoice next; names come last, and one row per (invoice, name) makes the distinct count plain.
+    per_line = t["invoice_item"].groupBy("invoice_id", "service_line_id").agg(F.sum("subtotal").alias("amount"))
     dated = customer_invoices(t).where(C("transaction_date").isNotNull())
+    billed = lookup(per_line, dated, "invoice_id", {"transaction_date": "at"})
+    lined = lookup(billed, t["service_line"], "service_line_id", {"name": "line_name"}, "left")
     return (
-        lookup(per_invoice, dated, "invoice_id", {"transaction_date": "at"})
+        lined.groupBy("invoice_id", "at", F.coalesce(C("line_name"), F.lit("Unassigned")).alias("service_line"))
+        .agg(F.sum("amount").alias("amount"))
         .groupBy(dates.year_month_text(C("at")).alias("year_month"), "service_line")
         .agg(F.count(F.lit(1)).alias("invoice_count"), cents(F.sum("amount")).alias("revenue"))
         .select(

@@ -77,24 +77,27 @@ def visits(t, s) -> DataFrame:
 @report("appointment_cancellations", "Canceled appointments by customer, place and who canceled", "-cancellation_count")
 def appointment_cancellations(t, s) -> DataFrame:
     start = C("window_start")
-    # Shrunk per job before anything moves; the location is resolved before the
-    # second grouping so that unknown locations fall into one group.
-    per_job = (
+    # Appointments move once, to their job, and shrink to bare keys; names are looked up for
+    # the few groups. Unknown locations then fall into one group.
+    canceled = (
         t["appointment"]
         .where(C("status").isin("canceled_by_customer", "canceled_by_vendor"))
-        .groupBy("job_id", "location_id", C("status").alias("cancellation_type"))
+        .select("id", "job_id", "location_id", C("status").alias("cancellation_type"), start)
+    )
+    per_place = (
+        lookup(canceled, t["job"], "job_id", {"customer_id": "customer_id"})
+        .groupBy("customer_id", "location_id", "cancellation_type")
         .agg(F.count("id").alias("n"), F.min(start).alias("first"), F.max(start).alias("last"))
     )
     placed = lookup(
-        per_job,
+        per_place,
         t["location"].withColumn("place_id", C("id")),
         "location_id",
         {"place_id": "place_id", "name": "location", "address_city": "city"},
         "left",
     )
     grouped = (
-        lookup(placed, t["job"], "job_id", {"customer_id": "customer_id"})
-        .groupBy("customer_id", "place_id", "location", "city", "cancellation_type")
+        placed.groupBy("customer_id", "place_id", "location", "city", "cancellation_type")
         .agg(F.sum("n").alias("cancellation_count"), F.min("first").alias("first"), F.max("last").alias("last"))
     )
     return lookup(grouped, t["company"], "customer_id", {"name": "customer"}).select(
