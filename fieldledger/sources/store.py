@@ -10,6 +10,7 @@ visible, and of two writers one gets an error. Old versions stay readable.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,8 @@ from fieldledger import schema
 from fieldledger.operators import merge
 
 BUCKET = "bucket"
+#: Seconds after which a manifest that is no whole JSON is taken for that of a dead writer.
+TORN_AFTER = 600
 
 
 class TableStore:
@@ -28,7 +31,9 @@ class TableStore:
     ``buckets`` hash buckets serve any key. Where keys are handed out in
     ascending order, ``bucket_rows`` cuts the key range instead: changes mostly
     concern recent keys, so a load rewrites a few buckets of a known size however
-    large the table has grown. Text keys are always hashed.
+    large the table has grown. Text keys are always hashed. How a table is cut is
+    part of its manifest: a store with other numbers follows it until the table is
+    replaced or cleared.
     """
 
     def __init__(
@@ -107,11 +112,15 @@ class TableStore:
 
     # Writing -------------------------------------------------------------
 
-    def bucket_of(self, layout: T.StructType, key: str):
-        if self.bucket_rows and isinstance(layout[key].dataType, T.LongType):
-            rows = F.lit(self.bucket_rows)
+    def _cut(self, state: dict) -> dict:
+        own = {"buckets": self.buckets, "bucket_rows": self.bucket_rows}
+        return state.get("cut", own) if state["buckets"] else own
+
+    def bucket_of(self, layout: T.StructType, key: str, cut: dict):
+        if cut["bucket_rows"] and isinstance(layout[key].dataType, T.LongType):
+            rows = F.lit(cut["bucket_rows"])
             return F.call_function("div", F.col(key) - F.pmod(F.col(key), rows), rows)
-        return F.pmod(F.xxhash64(F.col(key)), F.lit(self.buckets)).cast("bigint")
+        return F.pmod(F.xxhash64(F.col(key)), F.lit(cut["buckets"])).cast("bigint")
 
     def upsert(
         self,
@@ -131,36 +140,38 @@ class TableStore:
             return state["version"]
         layout, key = self.layout(table)
         changes = schema.fit(changes, layout)
-        touched = self._buckets_in(changes, layout, key)
+        cut = self._cut(state)
+        touched = self._buckets_in(changes, layout, key, cut)
         folder = None
         if touched:
-            folder = self._write(table, merge.upsert(self.read(table, touched), changes, key, newer_by), layout, key)
+            folder = self._write(table, merge.upsert(self.read(table, touched), changes, key, newer_by), layout, key, cut)
         return self._publish(table, state, touched, folder, source, batch)
 
     def replace(self, table: str, rows: DataFrame) -> int:
         """The table holds exactly these rows from now on."""
-        state = self.manifest(table)
+        state = {**self.manifest(table), "buckets": {}}
         layout, key = self.layout(table)
         rows = schema.fit(rows, layout)
-        folder = self._write(table, rows, layout, key)
-        return self._publish(table, {**state, "buckets": {}}, self._buckets_in(rows, layout, key), folder, None, None)
+        cut = self._cut(state)
+        folder = self._write(table, rows, layout, key, cut)
+        return self._publish(table, state, self._buckets_in(rows, layout, key, cut), folder, None, None)
 
-    def _buckets_in(self, rows: DataFrame, layout: T.StructType, key: str) -> list[int]:
-        # At most as many values as there are buckets.
-        return [r[0] for r in rows.select(self.bucket_of(layout, key)).distinct().collect()]
+    def _buckets_in(self, rows: DataFrame, layout: T.StructType, key: str, cut: dict) -> list[int]:
+        # One value per bucket: a fixed number of hash buckets, or one for ``bucket_rows`` keys.
+        return [r[0] for r in rows.select(self.bucket_of(layout, key, cut)).distinct().collect()]
 
     def clear(self, table: str) -> int:
         """Empty the table. Old versions stay until someone removes their folders."""
         state = self.manifest(table)
         return self._publish(table, {**state, "buckets": {}, "applied": {}}, [], None, None, None)
 
-    def _write(self, table: str, rows: DataFrame, layout: T.StructType, key: str) -> str:
+    def _write(self, table: str, rows: DataFrame, layout: T.StructType, key: str, cut: dict) -> str:
         # A folder of its own per attempt: a failed or competing write leaves no
         # trace in anybody's table. Rebalancing by bucket lets AQE cut a large
         # bucket into several files.
         folder = uuid.uuid4().hex
         (
-            rows.withColumn(BUCKET, self.bucket_of(layout, key))
+            rows.withColumn(BUCKET, self.bucket_of(layout, key, cut))
             .hint("rebalance", F.col(BUCKET))
             .write.partitionBy(BUCKET)
             .parquet(f"{self.root}/{table}/data/{folder}")
@@ -168,10 +179,20 @@ class TableStore:
         return folder
 
     def _publish(self, table, state, touched, folder, source, batch) -> int:
-        version = state["version"] + 1
+        version = self._next_version(table, state)
         held = {**state["buckets"], **{str(b): folder for b in touched}}
         applied = dict(state["applied"])
         if source is not None:
             applied[source] = batch
-        self._commit(table, {"version": version, "buckets": held, "applied": applied})
+        self._commit(table, {"version": version, "buckets": held, "applied": applied, "cut": self._cut(state)})
         return version
+
+    def _next_version(self, table: str, state: dict) -> int:
+        """One after the newest file; a torn one is passed over once its writer must be dead."""
+        newest = max(self._versions(table), default=0)
+        if newest > state["version"]:
+            status = self._files().getFileStatus(self._path(table, "manifest", f"{newest}.json"))
+            young = time.time() - status.getModificationTime() / 1000 < TORN_AFTER
+            if young or self.manifest(table)["version"] != state["version"]:
+                raise RuntimeError(f"another writer is changing {table}; load again")
+        return newest + 1

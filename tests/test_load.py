@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from hypothesis import given, settings
@@ -44,11 +45,26 @@ def test_versions_are_whole(spark, tmp_path):
     assert store.count("thing") == 51
     assert {r[1] for r in rows(before)} == {"old"}, "an opened version does not change"
     # A writer that died after its data leaves the table as it was.
-    store._write("thing", things(spark, (3, "half")), ROW, "id")
+    store._write("thing", things(spark, (3, "half")), ROW, "id", {"buckets": 4, "bucket_rows": None})
     (tmp_path / "thing" / "manifest" / "3.json").write_text('{"version": 3, "buck')
     assert {r[:2] for r in rows(store.read("thing"))} >= {(3, "new"), (99, "new")}
     with pytest.raises(Exception):
         store._commit("thing", {"version": 2, "buckets": {}, "applied": {}})
+    # While the torn manifest is young its writer may live; later the table goes on after it.
+    with pytest.raises(RuntimeError, match="another writer"):
+        store.upsert("thing", things(spark, (4, "late")))
+    os.utime(tmp_path / "thing" / "manifest" / "3.json", (0, 0))
+    assert store.upsert("thing", things(spark, (4, "late"))) == 4
+    assert store.count("thing") == 51 and (4, "late", None, None) in rows(store.read("thing"))
+
+
+def test_another_bucket_count_follows_the_stored_one(spark, tmp_path):
+    store_at(spark, tmp_path).upsert("thing", things(spark, *[(i, "old") for i in range(20)]))
+    other = TableStore(spark, str(tmp_path), 7, LAYOUTS)
+    other.upsert("thing", things(spark, (3, "new"), (20, "new")))
+    assert sorted(r[0] for r in rows(other.read("thing"))) == list(range(21))
+    other.replace("thing", things(spark, *[(i, "all") for i in range(30)]))
+    assert other.manifest("thing")["cut"]["buckets"] == 7
 
 
 def test_only_touched_buckets_are_written(spark, tmp_path):
