@@ -112,6 +112,15 @@ DOMAIN_SQL = {
     + """ SELECT 'before' AS moment, 'invoice' AS name, COUNT(*) AS records FROM invoice
           UNION ALL SELECT 'before', 'invoice_item', COUNT(*) FROM items UNION ALL SELECT 'before', 'sync_status', 2
           UNION ALL SELECT 'after', name, 0 FROM (VALUES ('invoice'), ('invoice_item'), ('sync_status')) v(name)""",
+    "s5_since_mark": f"SELECT id, status, updated_at FROM invoice WHERE updated_at > {NOW} - 365 * 86400",
+    "s9_loaded_status": ITEMS
+    + f""" SELECT resource, {NOW}::BIGINT AS last_synced_at, {clock(NOW)} AS last_synced_at_dt, {NOW}::BIGINT AS last_run_at,
+                  {clock(NOW)} AS last_run_at_dt, record_count
+           FROM (SELECT 'invoice' AS resource, COUNT(*) AS record_count FROM invoice UNION ALL SELECT 'invoice_item', COUNT(*) FROM items)""",
+    "m9_loaded_summary": ITEMS
+    + """ SELECT resource, CAST(1 AS BIGINT) AS runs, n AS fetched, n AS upserted, CAST(0 AS BIGINT) AS failed
+          FROM (SELECT 'invoice' AS resource, COUNT(*) AS n FROM invoice UNION ALL SELECT 'invoice_item', COUNT(*) FROM items)""",
+    "s17_restored_view": "SELECT id, status, customer_id FROM job WHERE NOT (status = 'completed')",
     "o7_set_operations": """
         SELECT DISTINCT customer_id FROM invoice WHERE customer_id IN (SELECT customer_id FROM quote)
           AND customer_id NOT IN (SELECT customer_id FROM job WHERE status = 'new') ORDER BY customer_id""",

@@ -114,8 +114,39 @@ def s12_reset(spark, sf_dir):
     return before.unionByName(stored_counts(loader, "after"))
 
 
-def loaded(spark, sf_dir) -> load.Loader:
-    loader = load.Loader(TableStore(spark, work_dir(spark, "load"), 8))
+@operator
+def s5_since_mark(spark, sf_dir):
+    """Invoices changed after the mark that a load of a year ago left."""
+    mark = loaded(spark, sf_dir, AS_OF - 365 * dates.DAY).since("invoice")
+    return load.incremental(domain_tables(spark, sf_dir)["invoice"].select("id", "status", "updated_at"), mark)
+
+
+@operator
+def s9_loaded_status(spark, sf_dir):
+    return loaded(spark, sf_dir, AS_OF).store.read("sync_status")
+
+
+@operator
+def m9_loaded_summary(spark, sf_dir):
+    return quality.run_summary(loaded(spark, sf_dir, AS_OF).store.read("sync_log"))
+
+
+@operator
+def s17_restored_view(spark, sf_dir):
+    """A view saved by one catalogue and brought back by another one over the same folder."""
+    domain_tables(spark, sf_dir)["job"].createOrReplaceTempView("job")
+    folder, name = work_dir(spark, "views"), "report_started_jobs"
+    catalog.ReportCatalog(spark, folder).save(name, "Jobs under way", "SELECT id, status, customer_id FROM job WHERE status <> 'completed'")
+    spark.catalog.dropTempView(name)
+    done, errors = catalog.ReportCatalog(spark, folder).restore()
+    if done != [name]:
+        raise RuntimeError(errors)
+    return spark.table(name)
+
+
+def loaded(spark, sf_dir, at: int | None = None) -> load.Loader:
+    store = TableStore(spark, work_dir(spark, "load"), 8)
+    loader = load.Loader(store) if at is None else load.Loader(store, clock=lambda: at)
     failed = [r.error for r in loader.load("invoice", feeds.invoice_pages(spark, sf_dir)) if r.error]
     if failed:
         raise RuntimeError(failed[0])
@@ -369,8 +400,10 @@ def m4_deleted_rows(spark, sf_dir):
 @operator
 def m5_rejects(spark, sf_dir):
     rows = event_rows(spark, sf_dir).withColumn("event_id", F.when(C("event_id") % 10 != 3, C("event_id")))
-    return rows.groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("fetched"), F.count("event_id").alias("upserted"), F.count_if(C("event_id").isNull()).alias("rejected")
+    kept = normalize.accepted(rows, "event_id").select("event_type", F.lit(True).alias("kept"))
+    lost = normalize.rejects(rows, "event_id").select("event_type", F.lit(False).alias("kept"))
+    return kept.unionByName(lost).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("fetched"), F.count_if("kept").alias("upserted"), F.count_if(~C("kept")).alias("rejected")
     )
 
 

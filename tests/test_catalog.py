@@ -27,7 +27,9 @@ def numbers(spark):
 def test_only_queries_pass(spark, numbers):
     assert select_only(spark, " SELECT id FROM numbers ; ") == "SELECT id FROM numbers"
     select_only(spark, "WITH a AS (SELECT 1 AS x) SELECT replace('update', 'u', 'x') FROM a")
+    select_only(spark, "SELECT 'how to reflect (light)' AS x, id AS `using` FROM numbers -- reflect('a')")
     for bad in (
+        "SELECT `reflect`('java.lang.System', 'exit', 0)", "SELECT java_method/**/('java.lang.System', 'exit', 0)", "SELECT * FROM text.`/etc/hostname`",
         "", ";", "DROP VIEW numbers", "INSERT INTO numbers VALUES (1)", "WITH a AS (SELECT 1) INSERT INTO numbers SELECT * FROM a",
         "SELECT * FROM missing", "SELECT reflect('java.lang.System', 'exit', 0)", "SELECT TRANSFORM (id) USING 'cat' FROM numbers",
         "SELECT 1; DROP VIEW numbers", "CREATE TABLE x AS SELECT 1", "EXPLAIN SELECT 1",
