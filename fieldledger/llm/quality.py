@@ -5,7 +5,8 @@ feature of the text and differ in ordered thresholds: P(grade > k) = sigmoid(sco
 Features are the sets of lower-cased words, of their first letters, trailing marks and letter shapes, and
 how much the words repeat, over the whole text. A feature's value is its log odds between the top grade
 and the others, over the root of the document's number of features. The model is fitted on a bounded sample of rated documents, ``SAMPLE`` of each grade
-in expectation and never more than three times that; prediction reads only the text.
+in expectation and never more than three times that; prediction reads only the text. A sampled row weighs as many
+rated rows as it stands for, so probabilities and ``keep`` follow the grades' natural shares at every table size.
 
 Null and empty texts have no feature and get the score 0. Documents without rating only do not train;
 repeated ratings of a document train once each. Without two rated grades every document is kept with an
@@ -92,15 +93,19 @@ class OrdinalModel:
         """P(grade > k) for k = 0 .. GRADES - 2."""
         return 1 / (1 + np.exp(-np.clip(scores[:, None] - self.thresholds[None, :], -30, 30)))
 
-    def fit(self, rows: list[np.ndarray], grades: np.ndarray, epochs: int = EPOCHS, rate: float = 0.5, seed: int = 0) -> None:
-        """AdaGrad on the log likelihood of the grades; steps between thresholds stay positive."""
+    def fit(
+        self, rows: list[np.ndarray], grades: np.ndarray, weights: np.ndarray | None = None, epochs: int = EPOCHS, rate: float = 0.5, seed: int = 0
+    ) -> None:
+        """AdaGrad on the weighted log likelihood of the grades; steps between thresholds stay positive."""
         if len(set(grades.tolist())) < 2:
             return
+        weights = np.ones(len(rows)) if weights is None else weights * (len(rows) / weights.sum())
         draw, w = np.random.default_rng(seed), np.zeros(len(self.weights))
         top, sides = grades == GRADES - 1, []
         for side in (top, ~top):
-            held = np.concatenate([np.zeros(0, np.int32), *[r for r, s in zip(rows, side, strict=True) if s]])
-            sides.append(np.log((np.bincount(held, minlength=len(w)) + SMOOTHING) / (side.sum() + SMOOTHING)))
+            held = [np.zeros(0, np.int32), *[r for r, s in zip(rows, side, strict=True) if s]]
+            heavy = np.repeat(weights[side], [len(r) for r in held[1:]])
+            sides.append(np.log((np.bincount(np.concatenate(held), heavy, len(w)) + SMOOTHING) / (weights[side].sum() + SMOOTHING)))
         odds, root = sides[0] - sides[1], _root(rows)
         start, steps = -0.5, np.full(GRADES - 2, 0.0)  # thresholds: start, then + exp(step)
         seen_w, seen_t = np.full(len(w), 1e-6), np.full(GRADES - 1, 1e-6)
@@ -119,10 +124,11 @@ class OrdinalModel:
                 high, low = above[rows_at, y], above[rows_at, y + 1]
                 p = np.maximum(high - low, 1e-9)
                 slope_high, slope_low = high * (1 - high), low * (1 - low)
-                d_score = -(slope_high - slope_low) / p / len(pick)
+                share = weights[pick] / len(pick)
+                d_score = -(slope_high - slope_low) / p * share
                 d_threshold = np.zeros(GRADES - 1)
                 for k in range(GRADES - 1):
-                    d_threshold[k] = ((y == k + 1) * slope_high / p - (y == k) * slope_low / p).sum() / len(pick)
+                    d_threshold[k] = (((y == k + 1) * slope_high / p - (y == k) * slope_low / p) * share).sum()
                 g = np.bincount(index, d_score[owner] * value, len(w)) + 1e-6 * w
                 seen_w += g * g
                 w -= rate * g / np.sqrt(seen_w)
@@ -145,14 +151,15 @@ def graded(labels: DataFrame) -> DataFrame:
 
 
 def sample(labels: DataFrame, per_grade: int = SAMPLE) -> DataFrame:
-    """About ``per_grade`` rated rows of each grade, by hash; 2 * GRADES * per_grade rows at most."""
+    """About ``per_grade`` rated rows of each grade, by hash, and how many each stands for; 2 * GRADES * per_grade rows at most."""
     rated = graded(labels)
     counts = {r["grade"]: r["count"] for r in rated.groupBy("grade").count().collect()}  # one row for each grade
-    share = F.lit(0.0)
+    share = F.lit(1.0)
     for grade, n in counts.items():
         share = F.when(F.col("grade") == grade, F.lit(min(1.0, per_grade / n))).otherwise(share)
     chance = F.xxhash64("doc_id", F.lit("rated")) / F.lit(2.0**64) + F.lit(0.5)
-    return rated.where(chance < share).orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(2 * GRADES * per_grade)
+    taken = rated.where(chance < share).withColumn("weight", 1 / share)
+    return taken.orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(2 * GRADES * per_grade)
 
 
 def train(docs: DataFrame, labels: DataFrame, per_grade: int = SAMPLE, **options: float) -> OrdinalModel:
@@ -161,17 +168,17 @@ def train(docs: DataFrame, labels: DataFrame, per_grade: int = SAMPLE, **options
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Features()
         for batch in batches:
-            made = [features(x.as_py(), known).tolist() for x in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.list_(pa.int32()))], ["doc_id", "grade", "features"])
+            made = [features(x.as_py(), known).tolist() for x in batch.column(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(made, pa.list_(pa.int32()))], ["doc_id", "grade", "weight", "features"])
 
     met = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(rated), F.col("doc_id") == F.col("_rated"))
-    rows = met.select("doc_id", "grade", F.col("text").cast("binary")).mapInArrow(run, "doc_id long, grade int, features array<int>").toArrow()
-    ids, grades = np.array(rows.column(0).to_numpy()), np.array(rows.column(1).to_numpy(), np.int64)
-    lists = rows.column(2).to_pylist()
+    rows = met.select("doc_id", "grade", "weight", F.col("text").cast("binary")).mapInArrow(run, "doc_id long, grade int, weight double, features array<int>").toArrow()
+    ids, grades, weights = np.array(rows.column(0).to_numpy()), np.array(rows.column(1).to_numpy(), np.int64), np.array(rows.column(2).to_numpy())
+    lists = rows.column(3).to_pylist()
     order = sorted(range(len(ids)), key=lambda i: (ids[i], grades[i], len(lists[i])))
     model = OrdinalModel()
     if order:
-        model.fit([np.array(lists[i], np.int32) for i in order], grades[order], **options)
+        model.fit([np.array(lists[i], np.int32) for i in order], grades[order], weights[order], **options)
     return model
 
 

@@ -89,6 +89,23 @@ def test_quality_on_held_out_ratings(spark):
     assert all(0 <= r.p_above_1 <= r.p_above_0 <= 1 and 0 <= r.expected_grade <= 2 for r in out.values())
 
 
+def test_keep_is_the_same_on_a_thinned_sample(spark):
+    draw = np.random.default_rng(4)
+    made, labels = [], []
+    for i in range(4000):
+        grade = int(draw.choice(3, p=[0.14, 0.1, 0.76]))
+        words = [f"c{draw.integers(40)}" if draw.random() < (0.55 if grade == 2 else 0.45) else f"p{draw.integers(40)}" for _ in range(30)]
+        made.append((i, " ".join(words)))
+        labels.append((i, int(grade > 0), int(grade == 1)))
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    rated = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    whole, thin = ([r.keep for r in quality.score(docs, quality.train(docs, rated, n)).orderBy("doc_id").collect()] for n in (4000, 300))
+    assert abs(np.mean(whole) - np.mean(thin)) < 0.06
+    stands_for = {r.grade: r.n for r in quality.sample(rated, 300).groupBy("grade").agg(F.sum("weight").alias("n")).collect()}
+    counts = {r.grade: r["count"] for r in quality.graded(rated).groupBy("grade").count().collect()}
+    assert all(stands_for[g] == pytest.approx(n, rel=0.2) for g, n in counts.items())
+
+
 def test_quality_edges(spark):
     docs = clashing(awkward(spark)).withColumn("keep", F.lit("clash"))
     ids = [r[0] for r in given("documents")[:6]]
