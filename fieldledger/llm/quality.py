@@ -9,7 +9,8 @@ in expectation and never more than three times that; prediction reads only the t
 rated rows as it stands for, so probabilities and ``keep`` follow the grades' natural shares at every table size.
 
 Null and empty texts have no feature and get the score 0. Documents without rating only do not train;
-repeated ratings of a document train once each. Without two rated grades every document is kept with an
+repeated ratings of a document train once each. Rows that repeat a doc_id train as one document: equal texts
+as one row, ``TEXTS`` different ones or what the bound has room for share its weight. Without two rated grades every document is kept with an
 expected grade of 2. Equal texts get equal answers. All columns pass through; columns of the same
 names as the results are replaced. An empty table gives an empty result.
 """
@@ -24,14 +25,16 @@ from operator import eq
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldledger.llm.common import CACHE_WORDS
+from fieldledger.llm.common import CACHE_WORDS, cut
 
 LOG2_FEATURES = 18
 SAMPLE = 4000
+#: Different texts that train for one doc_id at most.
+TEXTS = 64
 GRADES = 3
 EPOCHS = 8
 #: Documents added to each side before log odds are taken, so that rare features stay small.
@@ -163,7 +166,9 @@ def sample(labels: DataFrame, per_grade: int = SAMPLE) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, per_grade: int = SAMPLE, **options: float) -> OrdinalModel:
-    rated = sample(labels, per_grade).withColumnRenamed("doc_id", "_rated")  # a bounded table, so it may be broadcast
+    once = sample(labels, per_grade).groupBy(F.col("doc_id").alias("_rated"), "grade").agg(F.sum("weight").alias("weight"))
+    rated = cut(once)  # a bounded table, so it may be broadcast
+    room = max(1, min(TEXTS, 2 * GRADES * per_grade // max(1, rated.count())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Features()
@@ -172,10 +177,15 @@ def train(docs: DataFrame, labels: DataFrame, per_grade: int = SAMPLE, **options
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(made, pa.list_(pa.int32()))], ["doc_id", "grade", "weight", "features"])
 
     met = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(rated), F.col("doc_id") == F.col("_rated"))
-    rows = met.select("doc_id", "grade", "weight", F.col("text").cast("binary")).mapInArrow(run, "doc_id long, grade int, weight double, features array<int>").toArrow()
+    made = met.select("doc_id", "grade", "weight", F.col("text").cast("binary")).mapInArrow(run, "doc_id long, grade int, weight double, features array<int>")
+    texts = made.withColumn("_print", F.xxhash64("features")).dropDuplicates(["doc_id", "grade", "_print"])
+    nth = F.row_number().over(Window.partitionBy("doc_id", "grade").orderBy("_print"))  # limited before the rows move
+    rows = texts.withColumn("_nth", nth).where(F.col("_nth") <= room).select("doc_id", "grade", "weight", "features").toArrow()
     ids, grades, weights = np.array(rows.column(0).to_numpy()), np.array(rows.column(1).to_numpy(), np.int64), np.array(rows.column(2).to_numpy())
     lists = rows.column(3).to_pylist()
-    order = sorted(range(len(ids)), key=lambda i: (ids[i], grades[i], len(lists[i])))
+    _, owner, held = np.unique(ids * GRADES + grades, return_inverse=True, return_counts=True)
+    weights = weights / held[owner]
+    order = sorted(range(len(ids)), key=lambda i: (ids[i], grades[i], len(lists[i]), lists[i]))
     model = OrdinalModel()
     if order:
         model.fit([np.array(lists[i], np.int32) for i in order], grades[order], weights[order], **options)

@@ -106,6 +106,16 @@ def test_keep_is_the_same_on_a_thinned_sample(spark):
     assert all(stands_for[g] == pytest.approx(n, rel=0.2) for g, n in counts.items())
 
 
+def test_rows_of_one_document_train_as_one(spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(quality.OrdinalModel, "fit", lambda self, rows_, grades, weights, **_: sent.append((len(rows_), dict(zip(grades.tolist(), weights.tolist())), weights.sum())))
+    texts = [(1, "a good text"), (2, "a bad text")]
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    for more in ([], [(1, "a good text")] * 50, [(1, f"text w{i}") for i in range(500)]):
+        quality.train(spark.createDataFrame(texts + more, "doc_id long, text string"), labels, 4)
+    assert [s[0] for s in sent] == [2, 2, 1 + 12] and all(s[2] == pytest.approx(3) and s[1][0] == pytest.approx(2) for s in sent)
+
+
 def test_quality_edges(spark):
     docs = clashing(awkward(spark)).withColumn("keep", F.lit("clash"))
     ids = [r[0] for r in given("documents")[:6]]
