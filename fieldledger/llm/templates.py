@@ -4,16 +4,18 @@ Numbers, names and units of benchmark items and documents become typed placehold
 lower-cased without outer marks, so a question with other numbers or people keeps its template.
 Windows of ``WIDTH`` template words are hashed and equi-joined. Window and item meet on a diagonal
 (document position less item position); on it, the slots must be filled consistently: one item value
-always stands for one document value and the other way round. The windows of consistent diagonals are
-added up, and a document is contaminated by an item if at least ``MIN_SHARE`` of its windows are found.
+always stands for one document value and the other way round. Windows that hold a slot which contradicts
+another one of the diagonal are taken away, the others are added up, and a document is contaminated by an item if at least ``MIN_SHARE`` of its windows are found.
 
 Pairs of documents and items come only from the rarest windows of an item (fewest items have them):
 a pair that reaches the share must hit one of these, so phrases that many items share make no pairs of
 their own and yet count in the end. A bitmap of fixed size keeps document windows that no item has
 out of the shuffle; the join is exact.
 
-A name is a capitalised word inside a sentence (not after an end mark or at a line start). A unit is a
-word of ``UNITS`` right after a number. Items of fewer template words than a window are one window.
+A name is a capitalised word inside a sentence, or one that opens a sentence or line and that the items do
+not mainly write in lower case; words that the items have as names are names in any case of letters. Words of
+``PLAIN`` are no names. A number has digits or is a number word. A unit is a word of ``UNITS`` right after a
+number. A copy in lower case under a name that no item has keeps that name as a word. Items of fewer template words than a window are one window.
 A window counts if at least ``LITERALS`` of its words are no placeholders, so shorter items match
 nothing; nor do null and empty texts. Repeated rows of a document or an item count once. Empty tables
 give empty results. Other columns are not looked at.
@@ -43,6 +45,18 @@ UNITS = frozenset(
     "l ml liter liters litre litres gallon gallons s sec second seconds min minute minutes h hr hour hours day days "
     "week weeks month months year years mph kmh percent % € $ £ euro euros dollar dollars cent cents degree degrees".split()
 )
+#: Words that open sentences and are no names, number words and their tens.
+PLAIN = frozenset(
+    "a about after all also although an and another any are as at because before both but by can could did do does during each either every "
+    "few find for from given had has have he her here his how however i if in is it its let many more most my no not of on once one only or other "
+    "our she since so some such than that the their them then there these they this those though to under until was we were what when where which "
+    "while who whose why will with would you your".split()
+)
+_TENS = "twenty thirty forty fifty sixty seventy eighty ninety"
+_ONES = "one two three four five six seven eight nine"
+NUMBERS = frozenset(
+    f"zero {_ONES} ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen {_TENS} hundred thousand million billion dozen".split()
+) | {f"{t}-{o}" for t in _TENS.split() for o in _ONES.split()}
 _NUMBER, _NAME, _UNIT, _WORD = range(4)
 _KINDS = "number", "name", "unit"
 _OUTER = re.compile(r"^[^\w%€$£]+|[^\w%€$£]+$")
@@ -61,10 +75,11 @@ def _code(word: bytes) -> int:
         return ends
     number = _IS_NUMBER.match(core)
     lower = core.lower()
-    if number and (not number[1] or number[1].strip() in UNITS):
+    if (number and (not number[1] or number[1].strip() in UNITS)) or lower in NUMBERS:
         kind = 1
     else:
-        kind = (2 if len(core) > 1 and core[0].isupper() and core[1:].islower() else 0) | (4 if lower in UNITS else 0)
+        name = len(core) > 1 and core[0].isupper() and any(c.islower() for c in core[1:]) and lower not in PLAIN
+        kind = (2 if name else 0) | (4 if lower in UNITS else 0)
     return (max(1, xxhash.xxh64_intdigest(lower, 3) >> 4) << 4) | kind | ends
 
 
@@ -73,9 +88,12 @@ def template_codes() -> WordCodes:
 
 
 class Template:
-    """Template words of one text: ``codes`` (hash), ``kinds`` and the words themselves."""
+    """Template words of one text: ``codes`` (hash), ``kinds`` and the words themselves.
+
+    ``seen``: bitmaps of the words that items mainly write in lower case and of those that they have as names.
+    """
 
-    def __init__(self, text: bytes | None, known: WordCodes) -> None:
+    def __init__(self, text: bytes | None, known: WordCodes, seen: tuple[np.ndarray, np.ndarray] | None = None) -> None:
         words = (text or b"").replace(b"\n", b" \x00 ").split()
         raw = known.array(words)
         flags = (raw & np.uint64(15)).astype(np.uint8)
@@ -86,7 +104,12 @@ class Template:
         number = flags & 1 > 0
         follows = np.zeros(len(real), bool)
         follows[1:] = number[:-1]
-        self.kinds = np.select([number, (flags & 4 > 0) & follows, (flags & 2 > 0) & ~after_end], [_NUMBER, _UNIT, _NAME], _WORD).astype(np.uint8)
+        self.hashes = raw[real] & ~np.uint64(15)
+        self.capital, self.opens, self.number = flags & 2 > 0, after_end, number
+        name = self.capital & ~after_end
+        if seen is not None:
+            name |= (self.capital & ~in_bitmap(seen[0], self.hashes)) | in_bitmap(seen[1], self.hashes)
+        self.kinds = np.select([number, (flags & 4 > 0) & follows, name], [_NUMBER, _UNIT, _NAME], _WORD).astype(np.uint8)
         self.codes = np.where(self.kinds == _WORD, raw[real] >> np.uint64(4), self.kinds.astype(np.uint64))
         self.at = real
         self.words = words
@@ -116,15 +139,41 @@ def _batch(rows: list[tuple], key: pa.Array, taken: list[int], names: list[str])
     return pa.RecordBatch.from_arrays([key.take(pa.array(taken, pa.int64())), *columns, *[pa.array(x, pa.int32()) for x in rest]], names)
 
 
-def item_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
+def item_words(benchmark: DataFrame, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmaps of fixed size for ``Template``: words mainly in lower case, words that are names."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = template_codes()
+        for batch in batches:
+            made = [Template(text.as_py(), known) for text in batch.column(0)]
+            h, lower, inside, opens = (
+                np.concatenate([np.zeros(0, kind), *[f(t)[~t.number] for t in made]]).astype(kind)
+                for kind, f in [
+                    (np.uint64, lambda t: t.hashes),
+                    (np.int64, lambda t: ~t.capital),
+                    (np.int64, lambda t: t.capital & ~t.opens),
+                    (np.int64, lambda t: t.capital & t.opens),
+                ]
+            )
+            yield pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(lower), pa.array(inside), pa.array(opens)], ["h", "lower", "inside", "opens"])
+
+    words = benchmark.select(F.col("text").cast("binary")).mapInArrow(run, "h long, lower long, inside long, opens long")
+    sums = cut(words.groupBy("h").agg(*[F.sum(c).alias(c) for c in ("lower", "inside", "opens")]))
+    common = sums.where((F.col("lower") > 0) & (F.col("lower") >= F.col("inside")))
+    names = sums.where((F.col("inside") > F.col("lower")) | ((F.col("lower") == 0) & (F.col("opens") > 0)))
+    return bitmap(common, "h", bits), bitmap(names, "h", bits)
+
+
+def item_windows(benchmark: DataFrame, width: int = WIDTH, seen: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
     """item_id, h, at, slots, width, n: the distinct windows of every item; n of them."""
+    words = benchmark.sparkSession.sparkContext.broadcast(seen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = template_codes()
         for batch in batches:
             rows, taken = [], []
             for i, text in enumerate(batch.column(1)):
-                t = Template(text.as_py(), known)
+                t = Template(text.as_py(), known, words.value)
                 own = min(width, len(t.codes))
                 start, h = t.windows(own) if own >= LITERALS else t.windows(width)
                 _, first = np.unique(h, return_index=True)
@@ -137,9 +186,9 @@ def item_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     return rows.dropDuplicates(["item_id"]).mapInArrow(run, "item_id long, h long, at int, slots array<string>, width int, n int")
 
 
-def document_windows(docs: DataFrame, widths: list[int], bits: np.ndarray) -> DataFrame:
+def document_windows(docs: DataFrame, widths: list[int], bits: np.ndarray, seen: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
     """doc_id, h, at, slots of the windows that the bitmap lets through."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    shared, words = docs.sparkSession.sparkContext.broadcast(bits), docs.sparkSession.sparkContext.broadcast(seen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = template_codes()
@@ -147,7 +196,7 @@ def document_windows(docs: DataFrame, widths: list[int], bits: np.ndarray) -> Da
             for begin in range(0, batch.num_rows, 512):
                 part, rows, taken = batch.slice(begin, 512), [], []
                 for i, text in enumerate(part.column(1)):
-                    t = Template(text.as_py(), known)
+                    t = Template(text.as_py(), known, words.value)
                     for width in widths:
                         start, h = t.windows(width)
                         for j in np.flatnonzero(in_bitmap(shared.value, h)).tolist():
@@ -164,9 +213,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_
 
     doc_id, item_id, share, kind ('exact' if every slot has the item's value, else 'reparameterised'), n_items.
     """
-    items = cut(item_windows(benchmark, width))
+    seen = item_words(benchmark)
+    items = cut(item_windows(benchmark, width, seen))
     widths = sorted(r[0] for r in items.select("width").distinct().collect())  # at most ``width`` values
-    found = document_windows(docs, widths, bitmap(items, "h", bits))
+    found = document_windows(docs, widths, bitmap(items, "h", bits), seen)
     # only windows that an item has; rows of the item table are not multiplied into them
     found = cut(found.join(items.select("h").distinct(), "h", "left_semi"))
 
@@ -181,17 +231,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_
     met = wanted.join(found, ["doc_id", "h"])
     filled = F.transform(F.arrays_zip("item_slots", "slots"), lambda s: F.struct(s["item_slots"].alias("i"), s["slots"].alias("d")))
     diagonals = met.groupBy("doc_id", "item_id", "n", (F.col("at") - F.col("item_at")).alias("diagonal")).agg(
-        F.array_distinct(F.flatten(F.collect_list(filled))).alias("pairs"), F.collect_set("h").alias("hs")  # at most the item's windows
+        F.collect_list(F.struct("h", filled.alias("filled"))).alias("ws")  # at most the item's windows
     )
-
-    def values(side: str):
-        return F.size(F.array_distinct(F.transform("pairs", lambda p: p[side])))
-
+    diagonals = diagonals.withColumn("pairs", F.array_distinct(F.flatten(F.col("ws.filled"))))
+    against = F.filter("pairs", lambda p: F.exists("pairs", lambda q: (p["i"] == q["i"]) != (p["d"] == q["d"])))
     same = F.forall("pairs", lambda p: p["i"] == p["d"])
-    consistent = diagonals.where((values("i") == F.size("pairs")) & (values("d") == F.size("pairs")))
+    consistent = diagonals.withColumn("against", against).withColumn("same", same)
+    hs = F.transform(F.filter("ws", lambda w: ~F.arrays_overlap(w["filled"], F.col("against"))), lambda w: w["h"])
     # an item found many times in one document counts each of its windows once
     shares = (
-        consistent.select("doc_id", "item_id", "n", same.alias("same"), F.explode("hs").alias("h"))
+        consistent.select("doc_id", "item_id", "n", "same", F.explode(hs).alias("h"))
         .groupBy("doc_id", "item_id", "n", "h")
         .agg(F.max("same").alias("same"))
         .groupBy("doc_id", "item_id", "n")

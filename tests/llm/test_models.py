@@ -169,6 +169,24 @@ def test_templates(spark):
     assert templates.contaminated(docs.limit(0), items).count() == templates.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_templates_with_openers_number_words_and_other_case(spark):
+    item = (
+        "Natalia sold 48 clips to friends at the spring market. Natalia then sold half as many clips again in May. "
+        "Natalia also paid McDonald three coins for a small box of clips. Natalia wants to know what is left for her."
+    )
+    twelve = "On the farm 12 hens lay 12 eggs before noon, and the farmer then packs all of the fresh eggs into small boxes and sells these boxes at the market"
+    items = spark.createDataFrame([(1, item), (2, twelve)], "item_id long, text string")
+    texts = {
+        1: swapped(item, Natalia="Sabrina", _48="60"),
+        2: swapped(item, Natalia="Sabrina", McDonald="DeVito", three="seventeen"),
+        3: item.lower(),
+        4: swapped(item, three="17"),
+        5: twelve.replace("12 hens", "30 hens").replace("12 eggs", "25 eggs"),  # two numbers that were equal by chance
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.item_id for r in templates.contaminated(docs, items).collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 2}
+
+
 def test_planted_benchmark_passages(spark):
     items = [(i, t.split()) for i, t in given("benchmark", LARGER)]
     spaced = [(r[0], " " + " ".join((r[1] or "").split()) + " ") for r in given("documents", LARGER)]
