@@ -45,8 +45,22 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packed rows of token ids of all documents, in their order within each block."""
-    return packing.pack(docs)
+    """Packed rows of token ids of all documents: blocks and pack_ids in the order of the curriculum."""
+    return packing.pack(in_written_order(docs))
+
+
+def in_written_order(docs: DataFrame) -> DataFrame:
+    """``docs`` in the order in which their files were written; Spark reads the largest files first.
+
+    A file's number is that of the range it holds, a row's index its place. Rows of no file are in order already.
+    """
+    if not docs.inputFiles():
+        return docs
+    file = F.col("_metadata.file_name")
+    number = F.regexp_extract(file, r"^part-(\d+)", 1).try_cast("long")
+    order = F.struct(number.alias("number"), file.alias("file"), F.col("_metadata.row_index").alias("row")).alias("_order")
+    placed = docs.select("doc_id", "text", order)
+    return placed.repartitionByRange(shuffle_width(docs.sparkSession), "_order").sortWithinPartitions("_order")
 
 
 STAGES = [

@@ -262,6 +262,26 @@ def test_pipeline(spark):
     assert p.run(spark, LARGER).count() > 0
 
 
+def test_packs_follow_the_written_order(spark, tmp_path):
+    import corpus_pipeline as p
+
+    made = [(i, f"word{i} " * (20 + i), "en", "src1", 1) for i in range(400)]  # later files are larger
+    docs = spark.createDataFrame(made, DOCS).repartitionByRange(7, "doc_id").sortWithinPartitions("doc_id")
+    docs.write.parquet(f"{tmp_path}/docs")
+    read = spark.read.parquet(f"{tmp_path}/docs")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        packs = p.packed(spark, read, LARGER).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    ids: dict[int, set] = {}
+    for row in packs:
+        ids.setdefault(row.pack_id >> 33, set()).update(s.doc_id for s in row.segments)
+    parts = [ids[n] for n in sorted(ids)]
+    assert len(parts) > 1 and set().union(*parts) == set(range(400))
+    assert all(max(a) < min(b) for a, b in zip(parts, parts[1:], strict=False))
+
+
 def test_pipeline_on_awkward_rows(spark):
     import corpus_pipeline as p
 
