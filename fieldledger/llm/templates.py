@@ -17,7 +17,8 @@ not mainly write in lower case; words that the items have as names are names in
 ``PLAIN`` are no names. A number has digits or is a number word. A unit is a word of ``UNITS`` right after a
 number. A copy in lower case under a name that no item has keeps that name as a word. Items of fewer template words than a window are one window.
 A window counts if at least ``LITERALS`` of its words are no placeholders, so shorter items match
-nothing; nor do null and empty texts. Repeated rows of a document or an item count once. Empty tables
+nothing; nor do null and empty texts. Repeated rows of a document or an item count once; different texts of
+one item_id are items of their own, and so are those without item_id. Empty tables
 give empty results. Other columns are not looked at.
 """
 
@@ -165,7 +166,7 @@ def item_words(benchmark: DataFrame, bits: int = BITS) -> tuple[np.ndarray, np.n
 
 
 def item_windows(benchmark: DataFrame, width: int = WIDTH, seen: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
-    """item_id, h, at, slots, width, n: the distinct windows of every item; n of them."""
+    """item, item_id, h, at, slots, width, n: the distinct windows of every item (a number for item_id and text); n of them."""
     words = benchmark.sparkSession.sparkContext.broadcast(seen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,10 +181,13 @@ def item_windows(benchmark: DataFrame, width: int = WIDTH, seen: tuple[np.ndarra
                 for j in first.tolist():
                     rows.append((int(signed(h)[j]), int(start[j]), t.slots(int(start[j]), own), own, len(first)))
                     taken.append(i)
-            yield _batch(rows, batch.column(0), taken, ["item_id", "h", "at", "slots", "width", "n"])
+            yield _batch(rows, batch.column(0), taken, ["one", "h", "at", "slots", "width", "n"])
 
-    rows = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text"))
-    return rows.dropDuplicates(["item_id"]).mapInArrow(run, "item_id long, h long, at int, slots array<string>, width int, n int")
+    text = F.col("text").cast("binary").alias("text")
+    one = F.struct(F.xxhash64("item_id", text, F.col("item_id").isNull()).alias("item"), F.col("item_id").cast("long").alias("item_id")).alias("one")
+    rows = benchmark.select(one, text).dropDuplicates(["one", "text"])
+    made = rows.mapInArrow(run, "one struct<item: long, item_id: long>, h long, at int, slots array<string>, width int, n int")
+    return made.select("one.*", "h", "at", "slots", "width", "n")
 
 
 def document_windows(docs: DataFrame, widths: list[int], bits: np.ndarray, seen: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
@@ -222,15 +226,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_
 
     # of an item's windows in order of rarity, a match of t of n hits one of the first n - t + 1
     held = items.groupBy("h").agg(F.count(F.lit(1)).alias("held"))
-    ranked = items.join(held, "h").groupBy("item_id", "n").agg(F.array_sort(F.collect_list(F.struct("held", "h"))).alias("all"))
+    ranked = items.join(held, "h").groupBy("item", "n").agg(F.array_sort(F.collect_list(F.struct("held", "h"))).alias("all"))
     need = F.greatest(F.lit(1), F.ceil(F.col("n") * F.lit(min_share))).cast("int")
-    rare = ranked.select("item_id", F.explode(F.slice("all", F.lit(1), F.col("n") - need + 1)).alias("w")).select("item_id", F.col("w.h").alias("h"))
-    pairs = found.select("doc_id", "h").distinct().join(rare, "h").select("doc_id", "item_id").distinct()
+    rare = ranked.select("item", F.explode(F.slice("all", F.lit(1), F.col("n") - need + 1)).alias("w")).select("item", F.col("w.h").alias("h"))
+    pairs = found.select("doc_id", "h").distinct().join(rare, "h").select("doc_id", "item").distinct()
 
-    wanted = pairs.join(items.select("item_id", "h", "n", F.col("at").alias("item_at"), F.col("slots").alias("item_slots")), "item_id")
+    wanted = pairs.join(items.select("item", "item_id", "h", "n", F.col("at").alias("item_at"), F.col("slots").alias("item_slots")), "item")
     met = wanted.join(found, ["doc_id", "h"])
     filled = F.transform(F.arrays_zip("item_slots", "slots"), lambda s: F.struct(s["item_slots"].alias("i"), s["slots"].alias("d")))
-    diagonals = met.groupBy("doc_id", "item_id", "n", (F.col("at") - F.col("item_at")).alias("diagonal")).agg(
+    diagonals = met.groupBy("doc_id", "item", "item_id", "n", (F.col("at") - F.col("item_at")).alias("diagonal")).agg(
         F.collect_list(F.struct("h", filled.alias("filled"))).alias("ws")  # at most the item's windows
     )
     diagonals = diagonals.withColumn("pairs", F.array_distinct(F.flatten(F.col("ws.filled"))))
@@ -240,15 +244,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_
     hs = F.transform(F.filter("ws", lambda w: ~F.arrays_overlap(w["filled"], F.col("against"))), lambda w: w["h"])
     # an item found many times in one document counts each of its windows once
     shares = (
-        consistent.select("doc_id", "item_id", "n", "same", F.explode(hs).alias("h"))
-        .groupBy("doc_id", "item_id", "n", "h")
+        consistent.select("doc_id", "item", "item_id", "n", "same", F.explode(hs).alias("h"))
+        .groupBy("doc_id", "item", "item_id", "n", "h")
         .agg(F.max("same").alias("same"))
-        .groupBy("doc_id", "item_id", "n")
+        .groupBy("doc_id", "item", "item_id", "n")
         .agg(F.count(F.lit(1)).alias("hits"), F.min("same").alias("same"))
         .where(F.col("hits") >= need)
         .withColumn("share", F.col("hits") / F.col("n"))
     )
-    best = F.max_by(F.struct("item_id", "share", "same"), F.struct("share", -F.col("item_id")))
+    best = F.max_by(F.struct("item_id", "share", "same"), F.struct("share", -F.col("item_id"), "item"))
     return shares.groupBy("doc_id").agg(best.alias("best"), F.count(F.lit(1)).alias("n_items")).select(
         "doc_id",
         F.col("best.item_id").alias("item_id"),

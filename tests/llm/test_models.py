@@ -187,6 +187,14 @@ def test_templates_with_openers_number_words_and_other_case(spark):
     assert {r.doc_id: r.item_id for r in templates.contaminated(docs, items).collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 2}
 
 
+def test_items_of_one_id_or_none(spark):
+    texts = [" ".join(f"{w}{i}" for i in range(12)).translate(str.maketrans("0123456789", "abcdefghij")) for w in ("one", "two", "none", "zero")]
+    items = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[3]), (1, texts[0])], "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: (r.item_id, r.n_items) for r in templates.contaminated(docs, items).collect()}
+    assert found == {0: (1, 1), 1: (1, 1), 2: (None, 1), 3: (None, 1)}
+
+
 def test_planted_benchmark_passages(spark):
     items = [(i, t.split()) for i, t in given("benchmark", LARGER)]
     spaced = [(r[0], " " + " ".join((r[1] or "").split()) + " ") for r in given("documents", LARGER)]
