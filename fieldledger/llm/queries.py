@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldledger.llm import chat, fuzzy, language, mixing, packing, quality, repeats, simhash, templates, url_rules
+from fieldledger.llm import audit, chat, fuzzy, language, mixing, packing, quality, repeats, simhash, templates, url_rules
 from fieldledger.llm.common import table
 
 
@@ -61,6 +61,10 @@ def op10_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).drop("text")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -79,6 +83,7 @@ def corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_repeated_spans,
         op9_curriculum_mix,
         op10_ordinal_quality,
+        op11_filter_audit,
         pipeline,
     )
     return {f.__name__: f for f in found}
@@ -119,6 +124,27 @@ ORACLES = {
                  FROM words LEFT JOIN lists USING (r))
         SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
                sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept""",
+    "op11_filter_audit": f"""
+        WITH base AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+        flags AS (SELECT doc_id, part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+                         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text), regexp_matches(text, '[#$%&*|]'),
+                         coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS f FROM base),
+        rated AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS bad FROM labels GROUP BY doc_id),
+        docs AS (SELECT part, f, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad FROM flags LEFT JOIN rated USING (doc_id)),
+        counts AS (SELECT part, f, count(*) AS n, sum(good) AS good, sum(bad) AS bad FROM docs GROUP BY part, f),
+        letters AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+        orders AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM letters a, letters b, letters c, letters d, letters e
+                   WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+        steps AS (SELECT array_to_string(list_transform(o, lambda x: 'ABCDE'[x]), '') AS filter_order, s.i AS step, o[s.i] AS x, o[1:s.i - 1] AS before
+                  FROM orders, letters s),
+        cases AS (SELECT part, filter_order, step, x, n, good, bad, f[x] AS hit, len(list_filter(before, lambda y: f[y])) > 0 AS gone,
+                         f[x] AND len(list_filter(f, lambda y: y)) = 1 AS alone FROM counts, steps),
+        sums AS (SELECT part, filter_order, step, x, sum(n) FILTER (NOT hit AND NOT gone) AS kept, sum(n) FILTER (hit AND NOT gone) AS removed,
+                        sum(n) FILTER (hit AND gone) AS redundant, sum(n) FILTER (alone) AS unique_fails,
+                        sum(good) FILTER (hit AND NOT gone) AS good_lost, sum(bad) FILTER (hit AND NOT gone) AS toxic_lost
+                 FROM cases GROUP BY part, filter_order, step, x)
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost"))},
+               CAST(coalesce(sum(removed) OVER (PARTITION BY part, x), 0) AS BIGINT) AS shapley FROM sums""",
 }
 
 
