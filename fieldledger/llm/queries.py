@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldledger.llm import audit, chat, fuzzy, language, mixing, packing, quality, repeats, simhash, templates, url_rules
+from fieldledger.llm import audit, chat, fuzzy, language, mixing, packing, quality, repeats, secrets, simhash, templates, url_rules
 from fieldledger.llm.common import table
 
 
@@ -65,6 +65,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_secret_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.find(docs, secrets.train(docs))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -84,6 +89,7 @@ def corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_curriculum_mix,
         op10_ordinal_quality,
         op11_filter_audit,
+        op12_secret_field,
         pipeline,
     )
     return {f.__name__: f for f in found}
