@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldledger.llm import audit, chat, fuzzy, language, mixing, packing, quality, repeats, secrets, simhash, templates, url_rules
+from fieldledger.llm import audit, chat, fuzzy, language, mixing, packing, quality, repeats, secrets, simhash, templates, trie, url_rules
 from fieldledger.llm.common import table
 
 
@@ -70,6 +70,10 @@ def op12_secret_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(docs, secrets.train(docs))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -90,12 +94,16 @@ def corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_ordinal_quality,
         op11_filter_audit,
         op12_secret_field,
+        op13_conversation_trie,
         pipeline,
     )
     return {f.__name__: f for f in found}
 
 
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in url_rules.RULES)
+#: One bit of a CRC-32: the byte of the text comes in at every eighth.
+_CRC_BYTE = "CASE WHEN j % 8 = 0 THEN xor(k, ascii(substr(s, CAST(j // 8 + 1 AS BIGINT), 1))) ELSE k END"
+_CRC_STEP = f"xor(({_CRC_BYTE}) >> 1, 3988292384 * (({_CRC_BYTE}) & 1))"
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLES = {
@@ -130,6 +138,24 @@ ORACLES = {
                  FROM words LEFT JOIN lists USING (r))
         SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
                sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept""",
+    "op13_conversation_trie": f"""
+        WITH said AS (SELECT CAST(conv_id AS BIGINT) AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+                      FROM conversations WHERE conv_id IS NOT NULL),
+        lists AS (SELECT c, list({{'r': role, 't': text}} ORDER BY p) AS l, CAST(c AS VARCHAR) AS s FROM said GROUP BY c),
+        crcs AS (SELECT c, l, xor(list_reduce(range(0, CAST(8 * length(s) AS BIGINT)), lambda k, j: {_CRC_STEP}, 4294967295), 4294967295) % 6 AS h FROM lists),
+        built AS (SELECT a.c, coalesce(b.l[1:a.h], []) || a.l[a.h + 1:] AS l FROM crcs a LEFT JOIN crcs b ON b.c = a.c - a.c % 100),
+        starts AS (SELECT c, len(l) AS n, l, unnest(range(0, len(l) + 1)) AS d FROM built),
+        members AS (SELECT c, n, d, l[1:d] AS k, l[1:d - 1] AS up FROM starts),
+        nodes AS (SELECT k, d, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * coalesce(length(k[d].t), 0) AS own,
+                         coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (n = d), '') AS ends FROM members GROUP BY k, d),
+        kids AS (SELECT k[1:d - 1] AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+        known AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (k)),
+        spread AS (SELECT k[1:e] AS k, own, n_children FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM known)),
+        sums AS (SELECT k, sum(own) AS saved, count(*) FILTER (n_children = 0) AS leaves FROM spread GROUP BY k)
+        SELECT a.conv_id, a.d AS depth, b.conv_id AS parent_conv_id, a.n_convs, a.n_children, leaves AS n_leaves,
+               CAST(saved AS BIGINT) AS saved_tokens, sha256(a.ends) AS ends_sha256
+        FROM known a JOIN sums USING (k) LEFT JOIN nodes b ON a.d > 0 AND b.k = a.k[1:a.d - 1]""",
     "op11_filter_audit": f"""
         WITH base AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
         flags AS (SELECT doc_id, part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
