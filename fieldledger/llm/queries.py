@@ -21,7 +21,7 @@ def op2_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return templates.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return templates.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("doc")
 
 
 def op4_packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
