@@ -13,13 +13,10 @@ whose fingerprints differ in at most ``radius`` bits are linked; components of l
    ``radius`` for any pivot are no link: such pairs are discarded, survivors are verified bit by bit.
 4. A cell gives a spanning forest of its links, never all pairs, and components are found by stars.
 
-``similar_documents`` takes five-word shingles and a Jaccard similarity of ``SHARE`` or more instead. Such
-pairs differ in about ten of 64 bits, too many for block keys, so band keys of minima bring pairs together;
-pivot table and bit check discard those beyond ``FAR`` bits and the smallest shingle hashes verify the rest.
-
 Null and empty texts have no shingle: fingerprint zero, linked like any other. Texts with fewer words
-than a shingle are one shingle. Rows that repeat a doc_id stand or fall together. A row without
-doc_id gets its group's component. Empty tables give empty results; other columns are not looked at.
+than a shingle are one shingle. A row without doc_id gets its group's component, null if no row of the group has one.
+Of each group ``keep_one`` keeps the row of the smallest doc_id, or one without doc_id if there is no other; rows that repeat
+both doc_id and text are one document and stay together. Empty tables give empty results; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -33,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldledger.llm.common import RangeHash, cut, mixed, shuffle_width, word_hashes, written
+from fieldledger.llm.common import cut, shuffle_width
 from fieldledger.llm.components import components
 
 RADIUS = 3
@@ -48,10 +45,6 @@ PIVOTS = np.concatenate(
         np.random.default_rng(64).integers(0, 1 << 64, 12, dtype=np.uint64),
     ]
 )
-#: Similar documents: words of a shingle, least Jaccard similarity, bits that such a pair never differs in
-#: (mean 10, deviation 3), band keys (a pair at ``SHARE`` is missed once in 2,700), smallest hashes kept.
-SIMILAR_WIDTH, SHARE, FAR, BANDS, ROWS, SKETCH = 5, 0.8, 26, 20, 5, 256
-_FACTORS = np.random.default_rng(5).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -77,15 +70,21 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
+def row_key() -> Column:
+    """What tells rows apart: doc_id and text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("binary"), F.col("doc_id").isNull())
+
+
 def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, fp (the 64 bits as a bigint)."""
+    """doc_id, row (its ``row_key``), fp (the 64 bits as a bigint)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = np.array([fingerprint(x.as_py(), width) for x in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.int64())], ["doc_id", "fp"])
+            made = np.array([fingerprint(x.as_py(), width) for x in batch.column(2)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.int64())], ["doc_id", "row", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long"), row_key(), F.col("text").cast("binary"))
+    return rows.mapInArrow(run, "doc_id long, row long, fp long")
 
 
 def block_keys(fp: Column, blocks: int = BLOCKS, radius: int = RADIUS) -> Column:
@@ -192,7 +191,7 @@ def _by_cell(forest: Callable[..., Iterator[tuple[int, int]]]) -> Callable:
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """doc_id, fp, component_id (smallest doc_id reachable over links) for every row of ``docs``."""
+    """doc_id, row, fp, component_id (smallest doc_id reachable over links) for every row of ``docs``."""
     prints = cut(fingerprints(docs, width))
     classes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     # rows without any doc_id form classes without representative: they keep a null component
@@ -200,101 +199,12 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS, b
     labelled = classes.join(found, classes["rep"] == found["node"], "left").select(
         F.col("fp").alias("_fp"), F.coalesce("component", "rep").alias("component_id")
     )
-    return prints.join(labelled, prints["fp"] == labelled["_fp"], "left").select("doc_id", "fp", "component_id")
-
-
-class Sketcher:
-    """Of one text's set of shingles: its fingerprint, a digest, band keys, size and smallest hashes."""
-
-    def __init__(self, text: bytes | None, width: int = SIMILAR_WIDTH) -> None:
-        codes = word_hashes((text or b"").translate(_LOWER))
-        own = min(width, len(codes))
-        start = np.arange(len(codes) - own + 1 if own else 0)
-        hashes = np.unique(mixed(RangeHash(mixed(codes)).of(start, start + own) + np.uint64(own)))
-        self.fp = majority(hashes)
-        self.digest = xxhash.xxh64_intdigest(hashes.tobytes(), width)
-        self.size = len(hashes)
-        self.smallest = (hashes[:SKETCH] >> np.uint64(32)).astype(np.uint32).tobytes()
-        self.keys = np.zeros(0, np.uint64)
-        if len(hashes):
-            least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
-            for at in range(0, len(hashes), 4096):
-                np.minimum(least, (hashes[at : at + 4096] * _FACTORS[:, None]).min(1), out=least)
-            self.keys = mixed((mixed(least) * _FACTORS).reshape(BANDS, ROWS).sum(1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
-
-
-def sketches(docs: DataFrame, width: int = SIMILAR_WIDTH) -> DataFrame:
-    """doc_id, fp, digest, size, keys, smallest of every row."""
-    names = ["doc_id", "fp", "digest", "size", "keys", "smallest"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [Sketcher(x.as_py(), width) for x in batch.column(1)]
-            fp, digest = (pa.array(np.array([getattr(m, c) for m in made], np.uint64).view(np.int64)) for c in ("fp", "digest"))
-            size, keys = pa.array([m.size for m in made], pa.int64()), pa.array([m.keys.view(np.int64) for m in made], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), fp, digest, size, keys, pa.array([m.smallest for m in made], pa.binary())], names)
-
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-    return rows.mapInArrow(run, "doc_id long, fp long, digest long, size long, keys array<long>, smallest binary")
-
-
-def _similar_forest(sides: np.ndarray, reps: np.ndarray, fps: np.ndarray, sizes: np.ndarray, smallest: np.ndarray, share: float) -> Iterator[tuple[int, int]]:
-    """Edges that connect what is connected inside one cell: each found class meets only classes not yet found."""
-    fps = fps.view(np.uint64)
-    known, flat = np.unique(np.concatenate([np.frombuffer(x, np.uint32) for x in smallest]), return_inverse=True)
-    lengths = np.array([len(x) // 4 for x in smallest])
-    ranks = np.full((len(reps), SKETCH), len(known), np.int32)  # order and equality of the hashes; no hash: len(known)
-    ranks[np.arange(SKETCH) < lengths[:, None]] = flat
-    # hashes up to this one are all known: the last one kept, or all of them
-    limits = np.where(sizes > SKETCH, ranks[np.arange(len(reps)), lengths - 1], len(known) - 1)
-    table = pivot_table(fps)
-    other = sides[:, None] != sides[None, :] if sides.min() != sides.max() else None
-    open_ = np.ones(len(reps), bool)
-    mark = np.zeros(len(known) + 1, bool)
-    for first in range(len(reps)):
-        queue = [first] if open_[first] else []
-        open_[first] = False
-        while queue:
-            x = queue.pop()
-            rest = np.flatnonzero(open_ if other is None else open_ & other[x])
-            rest = rest[(np.abs(table[rest] - table[x]) <= FAR).all(1)]
-            rest = rest[np.bitwise_count(fps[rest] ^ fps[x]) <= FAR]
-            rest = rest[np.minimum(sizes[rest], sizes[x]) >= share * np.maximum(sizes[rest], sizes[x]) - 1e-9]
-            if not len(rest):
-                continue
-            mark[ranks[x, : lengths[x]]] = True
-            limit = np.minimum(limits[rest], limits[x])
-            within = ranks[rest] <= limit[:, None]
-            both = (mark[ranks[rest]] & within).sum(1)
-            union = within.sum(1) + np.searchsorted(ranks[x, : lengths[x]], limit, "right") - both
-            mark[ranks[x, : lengths[x]]] = False
-            near = rest[both >= share * union - 1e-9]
-            open_[near] = False
-            queue.extend(near.tolist())
-            yield from ((int(reps[x]), int(reps[y])) for y in near)
-
-
-def similar_documents(docs: DataFrame, width: int = SIMILAR_WIDTH, share: float = SHARE, cell: int = 2 * CELL) -> DataFrame:
-    """doc_id, component_id: the smallest doc_id reachable over pairs of Jaccard similarity ``share`` or more.
-
-    Texts of at most ``SKETCH`` distinct shingles are compared exactly, longer ones by their ``SKETCH`` smallest
-    hashes (deviation 0.025 at 0.8). Texts with one set of shingles, blank and null texts among them, are one class.
-    """
-    n = shuffle_width(docs.sparkSession)
-    made = written(sketches(docs, width))
-    one = F.first(F.struct("size", "keys", "smallest")).alias("one")
-    classes = written(made.groupBy("fp", "digest").agg(F.min("doc_id").alias("rep"), one).select("fp", "digest", "rep", "one.*"))
-    met = classes.where(F.col("rep").isNotNull())
-    keyed = met.select(F.explode("keys").alias("key"), "fp", "digest")
-    paid = in_cells(keyed, "digest", cell).join(met.drop("keys"), ["fp", "digest"])
-    dealt = paid.select("cell", "side", "rep", "fp", "size", "smallest").repartition(n, "cell").sortWithinPartitions("cell", "rep")
-    edges = dealt.mapInArrow(_by_cell(lambda *columns: _similar_forest(*columns, share)), "a long, b long")
-    found = components(edges)
-    labels = classes.join(found, classes["rep"] == found["node"], "left").select("fp", "digest", F.coalesce("component", "rep").alias("component_id"))
-    return made.select("doc_id", "fp", "digest").join(labels, ["fp", "digest"]).select("doc_id", "component_id")
+    return prints.join(labelled, prints["fp"] == labelled["_fp"], "left").select("doc_id", "row", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """``docs`` without those whose row of ``groups`` (doc_id, component_id) names another; the smallest doc_id stays."""
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """One document of ``docs`` for each group of ``groups`` (doc_id, row, fp, component_id)."""
+    nameless = F.when(F.col("component_id").isNull(), F.col("fp"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    kept = groups.groupBy("component_id", nameless.alias("nameless")).agg(first).select(F.col("first.row").alias("_row"))
+    return docs.join(kept, row_key() == kept["_row"], "left_semi")
