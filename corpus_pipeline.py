@@ -7,6 +7,7 @@ document stands once for each reading, and its last reading may be of its first
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,22 +19,28 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the ordinal model, fitted on the rated documents, does not reject."""
+    """Documents that the ordinal model, fitted on the rated documents, does not reject; empty texts go by their score.
+
+    Every row is judged by its own text, whatever its doc_id; without rated documents all rows stay.
+    """
     return quality.selected(docs, quality.train(docs, table(spark, sf_dir, "labels"))).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of the smallest doc_id, of each group of similar documents (five words, 0.8)."""
-    return simhash.keep_one(docs, simhash.similar_documents(docs)).select(*COLUMNS)
+    """One document, the one of the smallest doc_id, of each group that SimHash links (three words, three bits).
+
+    Null and empty texts are one group. Without any doc_id a group keeps its rows of one text.
+    """
+    return simhash.keep_one(docs, simhash.near_duplicates(docs)).select(*COLUMNS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item, re-parameterised ones included."""
+    """Documents that hold no benchmark item, re-parameterised ones included; null and empty texts hold none."""
     return templates.clean(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Readings of the documents in the order of the curriculum."""
+    """Readings of the documents in the order of the curriculum; texts without words are not read."""
     planned = mixing.plan(docs.select(*COLUMNS), carry=COLUMNS)
     reads = planned.select(*COLUMNS, "size", F.explode("reads").alias("read"))
     part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD_PATTERN), F.lit(0)), F.lit(1), F.col("read.words").cast("int")), " ")
@@ -52,14 +59,16 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def in_written_order(docs: DataFrame) -> DataFrame:
     """``docs`` in the order in which their files were written; Spark reads the largest files first.
 
-    A file's number is that of the range it holds, a row's index its place. Rows of no file are in order already.
+    A file's number is that of the range it holds, a row's index its place. A frame that is no plain scan of files
+    has no such places and stays as it is.
     """
-    if not docs.inputFiles():
-        return docs
     file = F.col("_metadata.file_name")
     number = F.regexp_extract(file, r"^part-(\d+)", 1).try_cast("long")
     order = F.struct(number.alias("number"), file.alias("file"), F.col("_metadata.row_index").alias("row")).alias("_order")
-    placed = docs.select("doc_id", "text", order)
+    try:
+        placed = docs.select("doc_id", "text", order)
+    except AnalysisException:
+        return docs
     return placed.repartitionByRange(shuffle_width(docs.sparkSession), "_order").sortWithinPartitions("_order")
 
 
