@@ -36,7 +36,14 @@ def make_pages(rows: DataFrame, key: str, name: str, size: int, side: dict[str,
 
 
 def company_pages(spark, sf_dir: str) -> DataFrame:
-    c = domain_tables(spark, sf_dir)["company"]
+    return pages_of_companies(domain_tables(spark, sf_dir)["company"])
+
+
+def odd_company_pages(spark, sf_dir: str) -> DataFrame:
+    return pages_of_companies(domain_tables(spark, sf_dir)["company"].where(F.col("id") % 2 == 1))
+
+
+def pages_of_companies(c: DataFrame) -> DataFrame:
     rows = c.select(
         "id",
         F.concat(F.lit("/company/"), F.col("id")).alias("uri"),
@@ -156,3 +163,45 @@ def event_records(spark, sf_dir: str) -> DataFrame:
         (F.col("event_id") % PAGE).alias("pos"),
         F.parse_json(text).alias("record"),
     )
+
+
+def poisoned_company_pages(spark, sf_dir: str) -> DataFrame:
+    """Company pages with records without id, dates that are words, keys that come twice, and a second page that was cut off."""
+    c = domain_tables(spark, sf_dir)["company"]
+    rows = c.select(
+        F.when(F.col("id") % 10 != 7, F.col("id")).alias("id"),
+        "name",
+        F.when(F.col("id") % 10 == 3, F.concat(F.lit("day "), F.col("id"))).otherwise((F.lit(MARK) + F.col("id")).cast("string")).alias("created"),
+        F.col("id").alias("_key"),
+    )
+    pages = make_pages(rows, "_key", "companies", PAGE)
+    second = F.get_json_object("body", "$.data.page") == "2"
+    twice = F.regexp_replace("body", r'"id":(\d*5),', r'"id":-1,"id":$1,')
+    return pages.select("pull", F.when(second, F.substring("body", 1, 500)).otherwise(twice).alias("body"))
+
+
+def land(pages: DataFrame, folder: str) -> None:
+    """One text file for each page, pulls in folders ``pull=<id>``."""
+    numbered = pages.withColumn("n", F.xxhash64("body"))
+    numbered.repartition("pull", "n").write.partitionBy("pull", "n").mode("append").text(folder)
+
+
+def invoice_details(spark, sf_dir: str) -> DataFrame:
+    """A detail feed of invoice items: for two of three invoices, with their second item, and with one that is nowhere embedded."""
+    i = domain_tables(spark, sf_dir)["invoice"].where(F.col("id") % 3 != 0)
+    each = F.explode(F.array(F.lit(2), F.lit(9))).alias("k")
+    item = F.struct((F.col("id") * 10 + F.col("k")).alias("id"), F.lit("detailed").alias("description"), F.lit(7.5).alias("quantity"))
+    return i.select("id", each).select(F.col("id").alias("invoice_id"), F.parse_json(F.to_json(item)).alias("record"))
+
+
+def mixed_records(spark, sf_dir: str) -> DataFrame:
+    """A record per event with one field named by its type, whose values are numbers and texts by turns."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    value = F.when(F.col("event_id") % 2 == 0, F.lit('"x"')).otherwise(F.lit("5"))
+    text = F.concat(F.lit('{"id":'), F.col("event_id"), F.lit(',"'), F.col("event_type"), F.lit('":'), value, F.lit("}"))
+    return e.select(
+        F.lit("").alias("pull"),
+        F.floor(F.col("event_id") / PAGE).cast("bigint").alias("page"),
+        (F.col("event_id") % PAGE).alias("pos"),
+        F.parse_json(text).alias("record"),
+    )

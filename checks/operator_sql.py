@@ -106,7 +106,25 @@ DOMAIN_SQL = {
     "s3_sideload_scan": SIDE + " SELECT id, recurrence_id, window_start FROM side",
     "s3_side_sections": SIDE + " SELECT 'serviceRequests' AS section, COUNT(*) AS records FROM side",
     "s5_incremental_read": f"SELECT id, status, updated_at FROM invoice WHERE updated_at > {NOW} - 365 * 86400",
-    "s6_default_floor": f"SELECT id, {big('currently_due')} AS currently_due FROM service_recurrence WHERE currently_due > {MARK}",
+    "s6_default_floor": f"SELECT id, {big('scheduled_date + id % 2 * 86400')} AS updated_at FROM job WHERE scheduled_date + id % 2 * 86400 > {MARK}",
+    "s1_repeated_keys": f"""
+        SELECT id // {PAGE} + 1 AS page, CASE WHEN id % 10 <> 7 THEN id END AS id, name FROM company WHERE id // {PAGE} <> 1""",
+    "s2_stream_pull": """
+        SELECT 'first' AS moment, 'company' AS name, COUNT(*) FILTER (WHERE id % 2 = 1) AS records FROM company
+        UNION ALL SELECT 'first', 'sync_status', -1 UNION ALL SELECT 'second', 'company', COUNT(*) FROM company
+        UNION ALL SELECT 'second', 'sync_status', 1""",
+    "m5_typed_rejects": f"""
+        SELECT id, 'created' AS field, 'day ' || id AS raw, 'not timestamp' AS reason, {NULL_INT} AS created_at
+        FROM company WHERE id % 10 = 3 AND id // {PAGE} <> 1""",
+    "m5_dead_letter": f"""
+        , read AS (SELECT id FROM company WHERE id // {PAGE} <> 1)
+        SELECT 'fetched' AS what, COUNT(*) AS records FROM read UNION ALL SELECT 'upserted', COUNT(*) FROM read WHERE id % 10 <> 7
+        UNION ALL SELECT 'no id', COUNT(*) FROM read WHERE id % 10 = 7 UNION ALL SELECT 'partial runs', 1
+        UNION ALL SELECT 'page cannot be read', COUNT(DISTINCT id // {PAGE}) FROM company WHERE id // {PAGE} = 1 UNION ALL SELECT 'marks', -1""",
+    "p17_mixed_children": ITEMS
+    + """, detailed AS (SELECT id AS invoice_id, id * 10 + k AS id FROM invoice, (VALUES (2), (9)) d(k) WHERE id % 3 <> 0)
+          SELECT invoice_id, id, description, quantity, subtotal FROM items ANTI JOIN detailed USING (invoice_id, id)
+          UNION ALL SELECT invoice_id, id, 'detailed', CAST(7.5 AS DOUBLE), CAST(NULL AS DOUBLE) FROM detailed""",
     "s8_load_feed": ITEMS + " SELECT * FROM items",
     "s12_reset": ITEMS
     + """ SELECT 'before' AS moment, 'invoice' AS name, COUNT(*) AS records FROM invoice
@@ -127,9 +145,9 @@ DOMAIN_SQL = {
     "s9_sync_status": SYNC_STATUS + " SELECT * FROM sync_status",
     "s10_sync_log": SYNC_LOG
     + f""" SELECT *, {clock('started_at')} AS started_at_dt, {clock('finished_at')} AS finished_at_dt FROM sync_log""",
-    "s11_row_counts": " UNION ALL ".join(
-        f"SELECT '{n}' AS name, COUNT(*) AS records FROM {n}" for n in ("company", "location", "job", "invoice", "quote", "asset")
-    ),
+    "s11_row_counts": ITEMS
+    + """ SELECT 'invoice' AS name, COUNT(*) AS records FROM invoice UNION ALL SELECT 'invoice_item', COUNT(*) FROM items
+          UNION ALL SELECT 'sync_log', 2 UNION ALL SELECT 'quote', -1 UNION ALL SELECT 'region', -1""",
     "s13_bounded_query": "SELECT id, status, estimated_price FROM job ORDER BY estimated_price DESC, id LIMIT 1000",
     "s18_timestamp_view": f"""
         SELECT id, job_id, window_start, {local_clock('window_start')} AS window_start_dt,
@@ -163,7 +181,7 @@ DOMAIN_SQL = {
     + """ SELECT COUNT(due.parent) AS matched, COUNT(*) AS records
           FROM service_recurrence r LEFT JOIN due ON due.parent = r.id""",
     "q4_paging_summary": f"""
-        SELECT MAX(id) // {PAGE} + 1 AS total_pages, {NULL_INT} AS total_count, CAST({PAGE} AS BIGINT) AS page_size,
+        SELECT '' AS pull, MAX(id) // {PAGE} + 1 AS total_pages, {NULL_INT} AS total_count, CAST({PAGE} AS BIGINT) AS page_size,
                COUNT(DISTINCT id // {PAGE}) AS pages_landed, COUNT(DISTINCT id // {PAGE}) = MAX(id) // {PAGE} + 1 AS complete
         FROM company HAVING total_pages > 1""",
     "m9_run_summary": SYNC_LOG
@@ -240,6 +258,9 @@ DOMAIN_SQL = {
 
 PLAIN_SQL = {
     "q1_field_profile": f"SELECT f AS field, t AS api_type FROM (VALUES {pairs(EVENT_TYPES)}) AS v(f, t) WHERE EXISTS (FROM events)",
+    "q1_profile_in_batches": """
+        SELECT 'id' AS field, 'integer' AS api_type WHERE EXISTS (FROM events) UNION ALL
+        SELECT event_type, CASE WHEN MIN(event_id) % 2 = 0 THEN 'text' ELSE 'integer' END FROM events GROUP BY event_type""",
     "q2_nested_keys": """
         SELECT f AS field, t AS api_type, k AS key_list
         FROM (VALUES ('user', 'object', 'id'), ('parts', 'array', 'id,name')) AS v(f, t, k) WHERE EXISTS (FROM events)""",

@@ -93,9 +93,10 @@ def s5_incremental_read(t):
 
 @operator
 def s6_default_floor(spark, sf_dir):
-    floor = load.UPDATED_FLOOR["servicerecurrence"]
-    rows = domain_tables(spark, sf_dir)["service_recurrence"].select("id", "currently_due")
-    return load.incremental(rows, floor, "currently_due")
+    """The first read of a feed that never was loaded starts at its floor: jobs stand in for updates around it."""
+    floor = load.Loader(TableStore(spark, work_dir(spark, "floor"), 8)).since("service_recurrence")
+    job = domain_tables(spark, sf_dir)["job"].select("id", (C("scheduled_date") + C("id") % 2 * 86400).alias("updated_at"))
+    return load.incremental(job, floor)
 
 
 @operator
@@ -106,6 +107,62 @@ def s8_load_feed(spark, sf_dir):
     )
 
 
+@operator
+def s1_repeated_keys(spark, sf_dir):
+    """Records that repeat a key give all their values, the last one of the key; a page that was cut off gives none."""
+    record = C("record")
+    found = pages.records(feeds.poisoned_company_pages(spark, sf_dir), "company")
+    return found.select("page", normalize.integer(record, "id").alias("id"), normalize.raw_text(record, "name").alias("name"))
+
+
+@operator
+def s2_stream_pull(spark, sf_dir):
+    """A pull whose last page lands later, and a whole one of the odd companies: counts after either landing."""
+    base = work_dir(spark, "pulls")
+    landed = feeds.company_pages(spark, sf_dir)
+    last = F.get_json_object("body", "$.data.page") == F.get_json_object("body", "$.data.totalPages")
+    odd = feeds.odd_company_pages(spark, sf_dir).withColumn("pull", F.lit("2"))
+    first = landed.withColumn("pull", F.lit("1"))
+    loader = load.Loader(TableStore(spark, f"{base}/store", 8), clock=lambda: AS_OF)
+    moments = []
+    for moment, arriving in (("first", odd.unionByName(first.where(~last))), ("second", first.where(last))):
+        feeds.land(arriving, f"{base}/landing")
+        loader.stream("company", f"{base}/landing", f"{base}/checkpoint", files_per_batch=3)
+        counts = [(moment, n, loader.store.count(n)) for n in ("company", "sync_status")]
+        moments.append(spark.createDataFrame(counts, "moment string, name string, records long"))
+    return reduce(DataFrame.unionByName, moments)
+
+
+def poisoned(spark, sf_dir) -> load.Loader:
+    plan = [Field("name"), Field("created", "created_at", "timestamp")]
+    loader = load.Loader(TableStore(spark, work_dir(spark, "poisoned"), 8), clock=lambda: AS_OF, plans={"company": plan})
+    loader.load("company", feeds.poisoned_company_pages(spark, sf_dir))
+    return loader
+
+
+@operator
+def m5_typed_rejects(spark, sf_dir):
+    """Values that do not fit their column, as a load put them aside; their records are loaded without them."""
+    loader = poisoned(spark, sf_dir)
+    lost = loader.rejects().where(C("field").isNotNull()).select("id", "field", "raw", "reason")
+    return lost.join(loader.store.read("company").select("id", "created_at"), "id")
+
+
+@operator
+def m5_dead_letter(spark, sf_dir):
+    """Fetched, upserted and rejected of a load with a page that was cut off and records without id; it moves no mark."""
+    loader = poisoned(spark, sf_dir)
+    log = loader.store.read("sync_log").select(
+        F.explode(F.create_map(F.lit("fetched"), "records_fetched", F.lit("upserted"), "records_upserted", F.lit(status_key), (C("status") == "partial").cast("long")))
+    )
+    turned = loader.rejects().where(C("field").isNull()).groupBy(C("reason").alias("key")).agg(F.count(F.lit(1)).alias("value"))
+    marks = loader.row_counts(["sync_status"]).select(F.lit("marks").alias("key"), C("records").alias("value"))
+    return log.unionByName(turned).unionByName(marks).select(C("key").alias("what"), C("value").alias("records"))
+
+
+status_key = "partial runs"
+
+
 @operator
 def s12_reset(spark, sf_dir):
     loader = loaded(spark, sf_dir)
@@ -154,11 +211,8 @@ def loaded(spark, sf_dir, at: int | None = None) -> load.Loader:
 
 
 def stored_counts(loader, moment: str) -> DataFrame:
-    counts = [
-        loader.store.read(n).agg(F.count(F.lit(1)).alias("records")).select(F.lit(moment).alias("moment"), F.lit(n).alias("name"), "records")
-        for n in ("invoice", "invoice_item", "sync_status")
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    counts = loader.row_counts(["invoice", "invoice_item", "sync_status"])
+    return counts.select(F.lit(moment).alias("moment"), "name", "records")
 
 
 @on_tables
@@ -179,11 +233,10 @@ def s10_sync_log(t):
     return t["sync_log"].withColumns(filled)
 
 
-@on_tables
-def s11_row_counts(t):
-    names = ("company", "location", "job", "invoice", "quote", "asset")
-    counts = [t[n].agg(F.count(F.lit(1)).alias("records")).select(F.lit(n).alias("name"), "records") for n in names]
-    return reduce(DataFrame.unionByName, counts)
+@operator
+def s11_row_counts(spark, sf_dir):
+    """Rows of stored tables, -1 of those that no load has made."""
+    return loaded(spark, sf_dir).row_counts(["invoice", "invoice_item", "sync_log", "quote", "region"])
 
 
 @operator
@@ -282,6 +335,15 @@ def p17_inline_choice(spark, sf_dir):
     return normalize.embedded_is_complete(records)
 
 
+@operator
+def p17_mixed_children(spark, sf_dir):
+    """Items of invoices with embedded and detailed ones: detailed where the feed has the item, else as embedded."""
+    records = pages.records(feeds.invoice_pages(spark, sf_dir), "invoice")
+    chosen = normalize.choose_children(records, "invoice_id", feeds.invoice_details(spark, sf_dir))
+    plan = [Field("description"), Field("quantity", type="real"), Field("subtotal", type="real")]
+    return normalize.normalize(chosen, plan, ["invoice_id"])
+
+
 def due_records(spark, sf_dir):
     landed = feeds.recurrence_pages(spark, sf_dir)
     return normalize.enrich_due(
@@ -308,6 +370,15 @@ def q1_field_profile(spark, sf_dir):
     return profile.field_profile(feeds.event_records(spark, sf_dir))
 
 
+@operator
+def q1_profile_in_batches(spark, sf_dir):
+    """Profiles of three batches, taken out of order and merged two by two."""
+    records = feeds.mixed_records(spark, sf_dir)
+    parts = [profile.stored_profile(records.where(C("page") % 3 == k), "event") for k in (2, 0, 1)]
+    merged = profile.merged_profile(profile.merged_profile(parts[0].unionByName(parts[1])).unionByName(parts[2]))
+    return profile.settled_profile(merged).select("field", "api_type")
+
+
 @operator
 def q2_nested_keys(spark, sf_dir):
     seen = profile.nested_keys(feeds.event_records(spark, sf_dir))

@@ -95,6 +95,23 @@ def normalize(
     return records.select(*keep, *columns_of(F.col("record"), list(rules), companions, given))
 
 
+#: What a value that a rule cannot take becomes.
+LOST = "array<struct<field:string,raw:string,reason:string>>"
+
+
+def lost_values(record: Column, rules: Iterable[Field]) -> Column:
+    """``(field, raw, reason)`` of the values that are there and come out NULL: they do not fit their column."""
+    found = []
+    for rule in rules:
+        if rule.skip or rule.spread or (rule.type not in ("integer", "timestamp", "real") and not rule.key):
+            continue
+        raw = get(record, "string", rule.source)
+        reason = f"no {rule.key}" if rule.key else f"not {rule.type}"
+        what = F.struct(F.lit(rule.source).alias("field"), raw.alias("raw"), F.lit(reason).alias("reason"))
+        found.append(F.when(raw.isNotNull() & value_of(record, rule).isNull(), what))
+    return F.array_compact(F.array(*found)).cast(LOST) if found else F.array().cast(LOST)
+
+
 def to_table(records: DataFrame, rules: Iterable[Field], table: str) -> DataFrame:
     """Flat rows with exactly the columns of a stored table."""
     return schema.conform(normalize(records, rules), table)
@@ -138,15 +155,20 @@ def embedded_is_complete(parents: DataFrame, items: str = "items") -> DataFrame:
 
 
 def choose_children(parents: DataFrame, parent_column: str, detail: DataFrame | None, items: str = "items") -> DataFrame:
-    """Embedded children when complete or when there is no detail feed, else the landed detail feed.
+    """One row for each child: from the landed detail feed where that has it, embedded where it has not.
 
-    ``detail`` has the parent id and the record, and ``page`` and ``pos`` if known.
-    Both branches stay lazy: a scalar decides which one lets rows through.
+    ``detail`` has the parent id and the record, and ``page`` and ``pos`` if known. Every child is chosen by itself, by its
+    parent's id and its own, so neither other parents nor batches have a say. Embedded children without id
+    stay as they are.
     """
+    embedded = children(parents, parent_column, items)
     if detail is None:
-        return children(parents, parent_column, items)
-    inline = F.coalesce(embedded_is_complete(parents, items).scalar(), F.lit(False))
-    return children(parents, parent_column, items).where(inline).unionByName(detail.where(~inline), allowMissingColumns=True)
+        return embedded
+    own = integer(F.col("record"), "id")
+    known = detail.select(F.col(parent_column).cast("bigint").alias("_parent"), own.alias("_child")).where(F.col("_child").isNotNull()).distinct()
+    keyed = embedded.withColumn("_own", own)
+    alone = keyed.join(known, (keyed[parent_column] == known["_parent"]) & (keyed["_own"] == known["_child"]), "left_anti").drop("_own")
+    return alone.unionByName(detail, allowMissingColumns=True)
 
 
 def enrich_due(recurrences: DataFrame, side: DataFrame) -> DataFrame:

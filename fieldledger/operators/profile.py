@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldledger.operators import rules
-from fieldledger.operators.normalize import arrival, first_child_keys
+from fieldledger.operators.normalize import arrival, first_child_keys, pull_order
 
 
 def type_name(kind: Column) -> Column:
@@ -83,6 +83,55 @@ def nested_keys(records: DataFrame) -> DataFrame:
     )
 
 
+#: A profile that can be stored and merged: where a field first had a type, and the keys of that first value.
+STORED = "name string, feed string, field string, api_type string, pull string, at long, keys array<string>"
+
+
+def stored_profile(records: DataFrame, feed: str) -> DataFrame:
+    """Rows of ``STORED`` for one batch of records ``(pull, page, pos, record)``.
+
+    The least position of each type of a field is associative: profiles of batches merged in any way are that of the whole.
+    """
+    placed = records.select(F.coalesce("pull", F.lit("")).alias("pull"), arrival(F.col("page"), F.col("pos")).alias("at"), "record")
+    members = records.sparkSession.tvf.variant_explode(F.col("record").outer())
+    seen = placed.lateralJoin(members).select("pull", "at", F.col("key").alias("field"), "value")
+    kind = F.substring_index(F.schema_of_variant("value"), "<", 1)
+    typed = seen.select("pull", "at", "field", "value", type_name(kind).alias("api_type"))
+    firsts = typed.groupBy("field", "api_type", "pull").agg(F.min("at").alias("at"))
+    firsts = firsts.groupBy("field", "api_type").agg(F.min(F.struct(pull_order(F.col("pull")).alias("pull"), "at")).alias("first"))
+    firsts = firsts.select("field", "api_type", F.col("first.pull.name").alias("pull"), "first.at")
+    name = F.concat_ws("/", F.lit(feed), "field", "api_type").alias("name")
+    # one row for each field and type: where to look for keys, in a handful of records
+    found = [tuple(r) for r in firsts.collect()]
+    known = records.sparkSession.createDataFrame(found, "field string, api_type string, pull string, at long")
+    spots = sorted({r[2:] for r in found if r[1] in ("object", "array")})
+    if not spots:
+        return known.select(name, F.lit(feed).alias("feed"), "field", "api_type", "pull", "at", F.lit(None).cast("array<string>").alias("keys"))
+    places = F.array(*[F.struct(F.lit(pull).alias("pull"), F.lit(at).cast("long").alias("at")) for pull, at in spots])
+    here = placed.where(F.array_contains(places, F.struct("pull", "at")))
+    looked = here.lateralJoin(members).select("pull", "at", F.col("key").alias("field"), "value")
+    raw = F.substring_index(F.schema_of_variant("value"), "<", 1)
+    head = F.when(raw == "OBJECT", F.col("value")).when(raw == "ARRAY", F.try_variant_get("value", "$[0]", "variant"))
+    keys = looked.select("pull", "at", "field", type_name(raw).alias("api_type"), F.json_object_keys(F.to_json(head)).alias("keys"))
+    keys = keys.where(F.col("keys").isNotNull()).dropDuplicates(["field", "api_type", "pull", "at"])
+    return known.join(keys, ["field", "api_type", "pull", "at"], "left").select(name, F.lit(feed).alias("feed"), "field", "api_type", "pull", "at", "keys")
+
+
+def merged_profile(profiles: DataFrame) -> DataFrame:
+    """The least position of each name."""
+    first = F.struct(pull_order(F.col("pull")).alias("pull"), F.col("at").alias("at"))
+    whole = F.struct("feed", "field", "api_type", "pull", "at", "keys")
+    return profiles.groupBy("name").agg(F.min_by(whole, first).alias("p")).select("name", "p.*")
+
+
+def settled_profile(profiles: DataFrame) -> DataFrame:
+    """``(feed, field, api_type, keys)``: the type that a field had first, ``unknown`` if it never had one."""
+    first = F.struct(pull_order(F.col("pull")).alias("pull"), F.col("at").alias("at"))
+    known = F.when(F.col("api_type") != "unknown", first)
+    seen = profiles.groupBy("feed", "field").agg(F.min_by(F.struct("api_type", "keys"), known).alias("p"))
+    return seen.select("feed", "field", F.coalesce("p.api_type", F.lit("unknown")).alias("api_type"), F.col("p.keys").alias("keys"))
+
+
 def child_feed_mode(parents: DataFrame, detail: DataFrame) -> DataFrame:
     """``parent_endpoint`` when the detail records know strictly more keys, else ``inline``.
 

@@ -156,7 +156,7 @@ COLUMN_COMMENTS = {
     ("deficiency", "report_source"): "manual|lsn|ivr|mobile|jcw",
     ("service_recurrence", "frequency"): "daily|weekly|monthly|yearly|null(task_list)",
     ("service_recurrence", "scheduling_type"): "default|task_list",
-    ("sync_log", "status"): "success|skipped|failed",
+    ("sync_log", "status"): "success|partial|skipped|failed",
 }
 
 # Feed names whose table name is spelled differently.

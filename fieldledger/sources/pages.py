@@ -33,18 +33,82 @@ def numbered(files: DataFrame) -> DataFrame:
     )
 
 
+#: Repeated keys are allowed in JSON: the last one holds. Spark's parser takes this from the session.
+REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
+
+
 def opened(pages: DataFrame) -> DataFrame:
     """Pages with their payload parsed once: ``(pull, page, body, data)``.
 
-    The payload is the ``data`` member when there is one, else the whole text.
-    A text that is no JSON gives a NULL payload and so no records.
+    The payload is the ``data`` member when there is one, else the whole text. A text that is no JSON or
+    too large for one value gives a NULL payload; ``landed`` then reads it record by record.
     """
+    pages.sparkSession.conf.set(REPEATED_KEYS, "true")
     whole = F.try_parse_json(F.col("body"))
     read = pages.select("pull", "body", F.coalesce(F.try_variant_get(whole, "$.data", "variant"), whole).alias("data"))
-    number = F.try_variant_get(F.col("data"), "$.page", "bigint")
+    data = F.col("data")
+    number = F.coalesce(F.try_variant_get(data, "$.page", "bigint"), F.when(data.isNull(), paging(F.col("body"), "page")))
     return read.select("pull", F.coalesce(number, F.lit(1).cast("bigint")).alias("page"), "body", "data")
 
 
+TEXTS, LIST = "map<string,string>", "array<string>"
+
+
+def members(body: Column) -> Column:
+    """Members of a payload as JSON texts, in text order, without building values: it may be of any size."""
+    top = F.from_json(body, TEXTS)
+    return F.coalesce(F.from_json(top["data"], TEXTS), top)
+
+
+def paging(body: Column, key: str) -> Column:
+    return members(body)[key].try_cast("bigint")
+
+
+def record_texts(body: Column, feed: str) -> Column:
+    """Texts of the records of a page: its list, its data list, a named list, or the first other one."""
+    own, data = members(body), F.from_json(body, TEXTS)["data"]
+    known = [F.from_json(own[name], LIST) for name in candidates(feed)]
+    other = F.filter(F.map_entries(own), lambda e: e["value"].startswith("[") & ~e["key"].isin(*PAGING_KEYS))
+    return F.coalesce(F.from_json(body, LIST), F.from_json(data, LIST), *known, F.from_json(F.get(other, 0)["value"], LIST))
+
+
+def landed(pages: DataFrame, feed: str) -> DataFrame:
+    """``(pull, page, total_pages, bad, pos, record, text)``: a row per record, or one without ``pos`` for a page without any.
+
+    ``bad`` is the text of a page that is no JSON. A page that is too large for one value is read
+    record by record, so that limit holds for a record; one that cannot be read has no ``record`` but its ``text``.
+    """
+    data, body, whole = F.col("data"), F.col("body"), F.col("data").isNotNull()
+    known = [list_of(data, name) for name in candidates(feed)]
+    found = F.coalesce(list_of(data), *known, F.get(named_lists(body, data), 0)["items"])
+    parsed = F.transform(found, lambda r: F.struct(r.alias("record"), F.lit(None).cast("string").alias("text")))
+
+    def one(text: Column) -> Column:
+        record = F.try_parse_json(text)
+        return F.struct(record.alias("record"), F.when(record.isNull(), text).alias("text"))
+
+    texts = F.when(~whole, record_texts(body, feed))
+    readable = whole | (F.trim("body") == "") | F.from_json(body, TEXTS).isNotNull() | F.from_json(body, LIST).isNotNull()
+    total = F.coalesce(F.try_variant_get(data, "$.totalPages", "bigint"), F.when(~whole, paging(body, "totalPages")))
+    rows = opened(pages).select(
+        "pull",
+        "page",
+        total.alias("total_pages"),
+        F.when(~F.coalesce(readable, F.lit(False)), body).alias("bad"),
+        F.posexplode_outer(F.when(whole, parsed).otherwise(F.transform(texts, one))).alias("pos", "found"),
+    )
+    return rows.select("pull", "page", "total_pages", "bad", "pos", "found.record", "found.text")
+
+
+def page_heads(pages: DataFrame) -> DataFrame:
+    """``(pull, page, total_pages, readable, body)`` of every page, for keeping those that wait for others."""
+    body = F.col("body")
+    read = F.col("data").isNotNull() | (F.trim("body") == "") | F.from_json(body, TEXTS).isNotNull() | F.from_json(body, LIST).isNotNull()
+    data = F.col("data")
+    total = F.coalesce(F.try_variant_get(data, "$.totalPages", "bigint"), F.when(data.isNull(), paging(body, "totalPages")))
+    return opened(pages).select(F.coalesce("pull", F.lit("")).alias("pull"), "page", total.alias("total_pages"), F.coalesce(read, F.lit(False)).alias("readable"), "body")
+
+
 def list_of(data: Column, name: str | None = None) -> Column:
     """Elements of a member (or of the payload itself); NULL when it is no list."""
     return F.try_variant_get(data, "$" if name is None else f"$['{name}']", "array<variant>")
@@ -69,16 +133,12 @@ def named_lists(body: Column, data: Column) -> Column:
 
 
 def records(pages: DataFrame, feed: str) -> DataFrame:
-    """``(pull, page, pos, record)`` of all pages, which is also the arrival order.
+    """``(pull, page, pos, record)`` of all records that can be read, which is also the arrival order.
 
     Known names are tried first; only a page without any of them pays for
     looking through its keys.
     """
-    data = F.col("data")
-    known = [list_of(data, name) for name in candidates(feed)]
-    first = F.get(named_lists(F.col("body"), data), 0)["items"]
-    found = F.coalesce(list_of(data), *known, first)
-    return opened(pages).select("pull", "page", F.posexplode(found).alias("pos", "record"))
+    return landed(pages, feed).where(F.col("record").isNotNull()).select("pull", "page", "pos", "record")
 
 
 def section(pages: DataFrame, name: str) -> DataFrame:
@@ -98,35 +158,29 @@ def side_sections(pages: DataFrame, feed: str) -> DataFrame:
     )
 
 
-def incomplete_pulls(pages: DataFrame) -> DataFrame:
-    """``(pull, total_pages, pages_landed)`` of pulls that announce more pages than have landed."""
-    total = F.max(F.try_variant_get(F.col("data"), "$.totalPages", "bigint"))
-    return (
-        opened(pages)
-        .groupBy("pull")
-        .agg(total.alias("total_pages"), F.count_distinct("page").alias("pages_landed"))
-        .where(F.col("total_pages") > F.col("pages_landed"))
+def pull_states(heads: DataFrame) -> DataFrame:
+    """``(pull, total_pages, pages_landed, unread)`` of a frame with ``pull, page, total_pages, readable``: a row for each pull."""
+    return heads.groupBy("pull").agg(
+        F.max("total_pages").alias("total_pages"),
+        F.count_distinct(F.when(F.col("readable"), F.col("page"))).alias("pages_landed"),
+        F.count_if(~F.col("readable")).alias("unread"),
     )
 
 
-def check(pages: DataFrame, whole: bool = True) -> None:
-    """Raise for pages that are no JSON the engine can hold and, for ``whole`` pulls, for missing ones."""
-    unread = opened(pages).where(F.col("data").isNull() & (F.trim("body") != "")).count()
-    if unread:
-        raise ValueError(f"{unread} pages cannot be read: broken, with a repeated key, or too large")
-    missing = incomplete_pulls(pages).count() if whole else 0
-    if missing:
-        raise ValueError(f"{missing} pulls have fewer pages than they announce")
+def incomplete_pulls(pages: DataFrame) -> DataFrame:
+    """Pulls that announce more pages than have landed, those that cannot be read counted in."""
+    return pull_states(page_heads(pages)).where(F.col("total_pages") > F.col("pages_landed") + F.col("unread"))
 
 
 def paging_summary(pages: DataFrame) -> DataFrame:
-    """Pages, records and page size a pull announces; only for pulls of several pages."""
+    """Pages, records and page size that each pull announces; only for pulls of several pages."""
 
     def number(key: str) -> Column:
         return F.max(F.try_variant_get(F.col("data"), f"$.{key}", "bigint"))
 
     return (
         opened(pages)
+        .groupBy("pull")
         .agg(
             number("totalPages").alias("total_pages"),
             number("totalCount").alias("total_count"),

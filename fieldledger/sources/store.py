@@ -1,19 +1,15 @@
-"""Stored tables: bucketed parquet whose versions change in one step.
+"""Stored tables: Parquet folders partitioned by the key, changed by Spark's dynamic partition overwrite.
 
-A table is a folder of versions. A load writes the hash buckets it touched into
-a new version folder and then creates one small manifest that names, for each
-bucket, the version that holds it. Creating that file is the commit: readers
-see the old table or the new one, a job that dies before it leaves nothing
-visible, and of two writers one gets an error. Old versions stay readable.
+A load rewrites the partitions that its changes fall into. Putting the same changes in twice gives the same rows,
+so a micro-batch that ran but was not recorded is simply run again.
 """
 
 from __future__ import annotations
 
-import json
-import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,178 +17,128 @@ from fieldledger import schema
 from fieldledger.operators import merge
 
 BUCKET = "bucket"
-#: Seconds after which a manifest that is no whole JSON is taken for that of a dead writer.
-TORN_AFTER = 600
 
 
 class TableStore:
     """``layouts`` adds tables beside the fixed ones: name -> (schema, key column).
 
-    ``buckets`` hash buckets serve any key. Where keys are handed out in
-    ascending order, ``bucket_rows`` cuts the key range instead: changes mostly
-    concern recent keys, so a load rewrites a few buckets of a known size however
-    large the table has grown. Text keys are always hashed. How a table is cut is
-    part of its manifest: a store with other numbers follows it until the table is
-    replaced or cleared.
+    ``buckets`` hash partitions serve any key. Where keys are handed out in ascending order, ``bucket_rows`` cuts
+    the key range instead: changes mostly concern recent keys, so a load rewrites a few partitions of a known size however large
+    the table has grown. Text keys are always hashed. A table keeps the numbers that it was made with.
     """
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        root: str,
-        buckets: int = 64,
-        layouts: dict | None = None,
-        bucket_rows: int | None = None,
-    ):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.buckets = buckets
-        self.bucket_rows = bucket_rows
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, layouts: dict | None = None, bucket_rows: int | None = None):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.buckets, self.bucket_rows = buckets, bucket_rows
         self.layouts = layouts or {}
 
     def layout(self, table: str) -> tuple[T.StructType, str]:
         return self.layouts.get(table) or (schema.table_schema(table), schema.key_column(table))
 
-    # Files ---------------------------------------------------------------
-
-    def _path(self, *parts: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
-
-    def _files(self):
-        return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _versions(self, table: str) -> list[int]:
-        folder = self._path(table, "manifest")
-        if not self._files().exists(folder):
-            return []
-        names = [s.getPath().getName() for s in self._files().listStatus(folder)]
-        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
-
-    def manifest(self, table: str) -> dict:
-        """Newest committed state; version 0 means the table was never written."""
-        for version in reversed(self._versions(table)):
-            stream = self._files().open(self._path(table, "manifest", f"{version}.json"))
-            try:
-                text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-            finally:
-                stream.close()
-            try:
-                return json.loads(text)
-            except ValueError:
-                continue  # being written right now: not committed yet
-        return {"version": 0, "buckets": {}, "applied": {}}
-
-    def _commit(self, table: str, manifest: dict) -> None:
-        # create(overwrite=False) fails when another writer took this version.
-        target = self._path(table, "manifest", f"{manifest['version']}.json")
-        stream = self._files().create(target, False)
-        try:
-            stream.write(bytearray(json.dumps(manifest).encode()))
-        finally:
-            stream.close()
-
-    # Reading -------------------------------------------------------------
+    def path(self, table: str) -> str:
+        return f"{self.root}/{table}"
+
+    def _folder(self, path: str):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()), folder
 
     def exists(self, table: str) -> bool:
-        return self.manifest(table)["version"] > 0
+        files, folder = self._folder(self.path(table))
+        return files.exists(folder)
+
+    def bucket_of(self, layout: T.StructType, key: str) -> Column:
+        if self.bucket_rows and isinstance(layout[key].dataType, T.LongType):
+            rows = F.lit(self.bucket_rows)
+            return F.call_function("div", F.col(key) - F.pmod(F.col(key), rows), rows)
+        return F.pmod(F.xxhash64(F.col(key)), F.lit(self.buckets)).cast("bigint")
 
     def read(self, table: str, buckets: list[int] | None = None) -> DataFrame:
-        """Current rows, optionally of some buckets only."""
+        """Rows of a table, optionally of some partitions only; none if it was never written."""
         layout, _ = self.layout(table)
-        held = self.manifest(table)["buckets"]
-        wanted = [b for b in held if buckets is None or int(b) in set(buckets)]
-        paths = [f"{self.root}/{table}/data/{held[b]}/{BUCKET}={b}" for b in wanted]
-        if not paths:
+        if not self.exists(table):
             return self.spark.createDataFrame([], layout)
-        return self.spark.read.schema(layout).parquet(*paths)
+        rows = self.spark.read.schema(T.StructType([*layout.fields, T.StructField(BUCKET, T.LongType())])).parquet(self.path(table))
+        return (rows if buckets is None else rows.where(F.col(BUCKET).isin(buckets))).drop(BUCKET)
 
     def count(self, table: str) -> int:
         """Rows, -1 for a table that does not exist."""
         return self.read(table).count() if self.exists(table) else -1
 
-    # Writing -------------------------------------------------------------
-
-    def _cut(self, state: dict) -> dict:
-        own = {"buckets": self.buckets, "bucket_rows": self.bucket_rows}
-        return state.get("cut", own) if state["buckets"] else own
-
-    def bucket_of(self, layout: T.StructType, key: str, cut: dict):
-        if cut["bucket_rows"] and isinstance(layout[key].dataType, T.LongType):
-            rows = F.lit(cut["bucket_rows"])
-            return F.call_function("div", F.col(key) - F.pmod(F.col(key), rows), rows)
-        return F.pmod(F.xxhash64(F.col(key)), F.lit(cut["buckets"])).cast("bigint")
-
-    def upsert(
-        self,
-        table: str,
-        changes: DataFrame,
-        newer_by: str | None = None,
-        source: str | None = None,
-        batch: int | None = None,
-    ) -> int:
-        """Put changes (unique by key) into the table; only touched buckets are rewritten.
-
-        ``source`` and ``batch`` make a replayed micro-batch a no-op: the number of
-        the last applied batch is part of the commit.
-        """
-        state = self.manifest(table)
-        if source is not None and state["applied"].get(source, -1) >= batch:
-            return state["version"]
+    def upsert(self, table: str, changes: DataFrame, newer_by: str | None = None, cheap: bool = False) -> int:
+        """Put changes (unique by key) into the table; how many keys were new. ``cheap`` changes are not written aside first."""
         layout, key = self.layout(table)
         changes = schema.fit(changes, layout)
-        cut = self._cut(state)
-        touched = self._buckets_in(changes, layout, key, cut)
-        folder = None
-        if touched:
-            folder = self._write(table, merge.upsert(self.read(table, touched), changes, key, newer_by), layout, key, cut)
-        return self._publish(table, state, touched, folder, source, batch)
-
-    def replace(self, table: str, rows: DataFrame) -> int:
-        """The table holds exactly these rows from now on."""
-        state = {**self.manifest(table), "buckets": {}}
+        if not self.exists(table):
+            return self._counted(table, changes, "static")
+        if cheap:
+            return self._merge(table, changes, layout, key, newer_by)
+        with self.staged(changes) as once:
+            return self._merge(table, once, layout, key, newer_by)
+
+    def _merge(self, table: str, changes: DataFrame, layout: T.StructType, key: str, newer_by: str | None) -> int:
+        # one value per partition that changes: a fixed number of hashes, or one for ``bucket_rows`` keys
+        touched = [r[0] for r in changes.select(self.bucket_of(layout, key)).distinct().collect()]
+        if not touched:
+            return 0
+        current = self.read(table, touched)
+        held = current.count()  # of Parquet footers
+        return self._counted(table, merge.upsert(current, changes, key, newer_by), "dynamic") - held
+
+    def _counted(self, table: str, rows: DataFrame, mode: str) -> int:
+        seen = Observation()
+        self._write(table, rows.observe(seen, F.count(F.lit(1)).alias("rows")), mode)
+        return observed(seen).get("rows", 0)
+
+    def replace(self, table: str, rows: DataFrame) -> None:
+        """The table holds exactly these rows from now on; they may come from the table itself."""
+        layout, _ = self.layout(table)
+        with self.staged(schema.fit(rows, layout)) as apart:
+            self._write(table, apart, "static")
+
+    def clear(self, table: str) -> None:
+        layout, _ = self.layout(table)
+        self._write(table, self.spark.createDataFrame([], layout), "static")
+
+    def _write(self, table: str, rows: DataFrame, mode: str) -> None:
         layout, key = self.layout(table)
-        rows = schema.fit(rows, layout)
-        cut = self._cut(state)
-        folder = self._write(table, rows, layout, key, cut)
-        return self._publish(table, state, self._buckets_in(rows, layout, key, cut), folder, None, None)
-
-    def _buckets_in(self, rows: DataFrame, layout: T.StructType, key: str, cut: dict) -> list[int]:
-        # One value per bucket: a fixed number of hash buckets, or one for ``bucket_rows`` keys.
-        return [r[0] for r in rows.select(self.bucket_of(layout, key, cut)).distinct().collect()]
-
-    def clear(self, table: str) -> int:
-        """Empty the table. Old versions stay until someone removes their folders."""
-        state = self.manifest(table)
-        return self._publish(table, {**state, "buckets": {}, "applied": {}}, [], None, None, None)
-
-    def _write(self, table: str, rows: DataFrame, layout: T.StructType, key: str, cut: dict) -> str:
-        # A folder of its own per attempt: a failed or competing write leaves no
-        # trace in anybody's table. Rebalancing by bucket lets AQE cut a large
-        # bucket into several files.
-        folder = uuid.uuid4().hex
-        (
-            rows.withColumn(BUCKET, self.bucket_of(layout, key, cut))
-            .hint("rebalance", F.col(BUCKET))
-            .write.partitionBy(BUCKET)
-            .parquet(f"{self.root}/{table}/data/{folder}")
-        )
-        return folder
-
-    def _publish(self, table, state, touched, folder, source, batch) -> int:
-        version = self._next_version(table, state)
-        held = {**state["buckets"], **{str(b): folder for b in touched}}
-        applied = dict(state["applied"])
-        if source is not None:
-            applied[source] = batch
-        self._commit(table, {"version": version, "buckets": held, "applied": applied, "cut": self._cut(state)})
-        return version
-
-    def _next_version(self, table: str, state: dict) -> int:
-        """One after the newest file; a torn one is passed over once its writer must be dead."""
-        newest = max(self._versions(table), default=0)
-        if newest > state["version"]:
-            status = self._files().getFileStatus(self._path(table, "manifest", f"{newest}.json"))
-            young = time.time() - status.getModificationTime() / 1000 < TORN_AFTER
-            if young or self.manifest(table)["version"] != state["version"]:
-                raise RuntimeError(f"another writer is changing {table}; load again")
-        return newest + 1
+        # rebalancing by partition lets AQE cut a large one into several files
+        cut = rows.withColumn(BUCKET, self.bucket_of(layout, key)).hint("rebalance", F.col(BUCKET))
+        cut.write.partitionBy(BUCKET).mode("overwrite").option("partitionOverwriteMode", mode).parquet(self.path(table))
+
+    # Beside the keyed tables ------------------------------------------------
+
+    def put_part(self, name: str, rows: DataFrame, *parts: str) -> None:
+        """Rows of a table without key; those of the same partition values are replaced, so a replay changes nothing."""
+        rows.write.partitionBy(*parts).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
+
+    def parts(self, name: str, layout: str) -> DataFrame:
+        if not self.exists(name):
+            return self.spark.createDataFrame([], layout)
+        return self.spark.read.schema(layout).parquet(self.path(name))
+
+    def staged(self, rows: DataFrame) -> Staged:
+        return Staged(self, rows)
+
+
+def observed(seen: Observation) -> dict:
+    """Metrics of a write; none if Spark found before running that there are no rows and left the counting out."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
+
+
+class Staged:
+    """``rows`` written beside the tables for as long as a ``with`` block lasts: read often, computed once."""
+
+    def __init__(self, store: TableStore, rows: DataFrame):
+        self.store, self.rows = store, rows
+        self.path = f"{store.root}/_staging/{uuid.uuid4().hex}"
+
+    def __enter__(self) -> DataFrame:
+        self.rows.write.parquet(self.path)
+        return self.store.spark.read.schema(self.rows.schema).parquet(self.path)
+
+    def __exit__(self, *_) -> None:
+        files, folder = self.store._folder(self.path)
+        files.delete(folder, True)

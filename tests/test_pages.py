@@ -81,13 +81,46 @@ def test_children_keep_their_parent(spark):
     assert sorted(map(tuple, got)) == [(1, 10), (1, 11)]
 
 
-def test_incomplete_children_come_from_their_own_feed(spark):
+def test_children_come_from_their_own_feed_one_by_one(spark):
     detail = pages.records(frame(spark, [{"id": 10, "price": 1}]), "item").select(F.lit(1).cast("long").alias("quote_id"), "record")
-    for width, price in ((3, 1), (5, None)):
-        items = [{**{f"k{n}": n for n in range(width - 1)}, "id": 10}]
-        parents = pages.records(frame(spark, [{"id": 0}, {"id": 1, "items": items}]), "quote")
-        got = normalize.choose_children(parents, "quote_id", detail).select(normalize.integer(C("record"), "price")).collect()
-        assert [r[0] for r in got] == [price]
+    for width in (3, 5):
+        items = [{**{f"k{n}": n for n in range(width - 1)}, "id": 10}, {"id": 11, "price": 3}, {"price": 4}]
+        parents = pages.records(frame(spark, [{"id": 0}, {"id": 1, "items": items}, {"id": 2, "items": [{"id": 10, "price": 5}]}]), "quote")
+        got = normalize.choose_children(parents, "quote_id", detail).select("quote_id", normalize.integer(C("record"), "price")).collect()
+        assert sorted(map(tuple, got)) == [(1, 1), (1, 3), (1, 4), (2, 5)]
+
+
+def test_pages_are_read_record_by_record(spark):
+    twice = '{"data":{"page":2,"totalPages":3,"jobs":[{"id":1,"a":1,"a":{"b":2,"b":3}},{"id":2}],"page":2}}'
+    found = pages.landed(spark.createDataFrame([("", twice), ("", '[{"id":3},{"id":3'), ("", "  ")], "pull string, body string"), "job").collect()
+    assert sorted((r.page, r.total_pages, r.bad is not None, r.pos) for r in found if r.pos is not None) == [(2, 3, False, 0), (2, 3, False, 1)]
+    assert [r.bad for r in found if r.bad] == ['[{"id":3},{"id":3']
+    assert json.loads(next(r.record.toJson() for r in found if r.pos == 0)) == {"id": 1, "a": {"b": 3}}
+
+
+def test_a_page_may_be_larger_than_a_value(spark):
+    """A page beyond the limit of one value (128 MiB) gives all its records; the side list stays out."""
+    note = F.format_string('{"id":%d,"note":"%s"}', F.col("id"), F.repeat(F.lit("x"), 1_000_000))
+    body = F.concat(F.lit('{"page":4,"totalPages":9,"odd":['), F.array_join(F.collect_list(note), ","), F.lit('],"side":[{"id":-1}]}'))
+    found = pages.landed(spark.range(140).coalesce(1).agg(body.alias("body")).select(F.lit("").alias("pull"), "body"), "job")
+    got = found.select("page", "total_pages", "bad", normalize.integer(C("record"), "id").alias("id")).collect()
+    assert sorted(r.id for r in got) == list(range(140)) and {(r.page, r.total_pages, r.bad) for r in got} == {(4, 9, None)}
+
+
+def test_record_texts(spark):
+    bodies = ['{"data":{"page":4,"jobs":[{"id":1}],"side":[{"id":9}]}}', '[{"id":1}]', '{"data":[{"id":1}]}', '{"page":4,"odd":[{"id":1}],"side":[{"id":9}]}']
+    found = spark.createDataFrame([(b,) for b in bodies], "body string").select(pages.record_texts(C("body"), "job")).collect()
+    assert [r[0] for r in found] == [['{"id":1}']] * 4
+
+
+def test_a_stored_profile_can_be_merged_in_any_way(spark):
+    body = [{"id": n, **({"a": None} if n < 2 else {"a": "x" if n % 3 else n}), "o": [{"k": 1}] if n % 2 else {"z": 1}} for n in range(12)]
+    records = pages.records(spark.createDataFrame([(str(n % 3), json.dumps({"data": {"jobs": [r], "page": n}})) for n, r in enumerate(body)], "pull string, body string"), "job").cache()
+    whole = sorted(map(str, profile.merged_profile(profile.stored_profile(records, "job")).collect()))
+    parts = [profile.stored_profile(records.where(C("page") % 4 == k), "job") for k in (3, 1, 0, 2)]
+    left = profile.merged_profile(parts[0].unionByName(parts[1]))
+    right = profile.merged_profile(parts[2].unionByName(parts[3]))
+    assert sorted(map(str, profile.merged_profile(left.unionByName(right)).collect())) == whole
 
 
 def test_due_date_of_the_last_side_record_wins(spark):
