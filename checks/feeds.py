@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fieldledger.functions import dates
 from fieldledger.sources.adapter import domain_tables
 
-PAGE = 200
+PAGE, SMALL_PAGE = 200, 60
 MARK = 946684800
 
 
@@ -36,14 +36,16 @@ def make_pages(rows: DataFrame, key: str, name: str, size: int, side: dict[str,
 
 
 def company_pages(spark, sf_dir: str) -> DataFrame:
-    return pages_of_companies(domain_tables(spark, sf_dir)["company"])
+    return pages_of_companies(domain_tables(spark, sf_dir)["company"], PAGE)
 
 
-def odd_company_pages(spark, sf_dir: str) -> DataFrame:
-    return pages_of_companies(domain_tables(spark, sf_dir)["company"].where(F.col("id") % 2 == 1))
+def company_pulls(spark, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Small pages of all companies, and of the odd ones."""
+    c = domain_tables(spark, sf_dir)["company"]
+    return pages_of_companies(c, SMALL_PAGE), pages_of_companies(c.where(F.col("id") % 2 == 1), SMALL_PAGE)
 
 
-def pages_of_companies(c: DataFrame) -> DataFrame:
+def pages_of_companies(c: DataFrame, size: int) -> DataFrame:
     rows = c.select(
         "id",
         F.concat(F.lit("/company/"), F.col("id")).alias("uri"),
@@ -68,7 +70,7 @@ def pages_of_companies(c: DataFrame) -> DataFrame:
         (F.lit(MARK) + F.col("id") * 3600).alias("created"),
         F.struct(F.col("id").cast("string").alias("books")).alias("externalIds"),
     )
-    return make_pages(rows, "id", "companies", PAGE)
+    return make_pages(rows, "id", "companies", size)
 
 
 def invoice_pages(spark, sf_dir: str) -> DataFrame:
@@ -174,7 +176,7 @@ def poisoned_company_pages(spark, sf_dir: str) -> DataFrame:
         F.when(F.col("id") % 10 == 3, F.concat(F.lit("day "), F.col("id"))).otherwise((F.lit(MARK) + F.col("id")).cast("string")).alias("created"),
         F.col("id").alias("_key"),
     )
-    pages = make_pages(rows, "_key", "companies", PAGE)
+    pages = make_pages(rows, "_key", "companies", SMALL_PAGE)
     second = F.get_json_object("body", "$.data.page") == "2"
     twice = F.regexp_replace("body", r'"id":(\d*5),', r'"id":-1,"id":$1,')
     return pages.select("pull", F.when(second, F.substring("body", 1, 500)).otherwise(twice).alias("body"))

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from checks.domain import NOW, big, day, days, local, local_text, on_domain, rounded, step
-from checks.feeds import MARK, PAGE
-from checks.reports import HOODS
+from checks.feeds import MARK, PAGE, SMALL_PAGE
+from checks.reports import HOODS, report_oracles
 
 SYNC_LOG = """
     , runs AS (
@@ -108,19 +108,19 @@ DOMAIN_SQL = {
     "s5_incremental_read": f"SELECT id, status, updated_at FROM invoice WHERE updated_at > {NOW} - 365 * 86400",
     "s6_default_floor": f"SELECT id, {big('scheduled_date + id % 2 * 86400')} AS updated_at FROM job WHERE scheduled_date + id % 2 * 86400 > {MARK}",
     "s1_repeated_keys": f"""
-        SELECT id // {PAGE} + 1 AS page, CASE WHEN id % 10 <> 7 THEN id END AS id, name FROM company WHERE id // {PAGE} <> 1""",
+        SELECT id // {SMALL_PAGE} + 1 AS page, CASE WHEN id % 10 <> 7 THEN id END AS id, name FROM company WHERE id // {SMALL_PAGE} <> 1""",
     "s2_stream_pull": """
         SELECT 'first' AS moment, 'company' AS name, COUNT(*) FILTER (WHERE id % 2 = 1) AS records FROM company
         UNION ALL SELECT 'first', 'sync_status', -1 UNION ALL SELECT 'second', 'company', COUNT(*) FROM company
         UNION ALL SELECT 'second', 'sync_status', 1""",
     "m5_typed_rejects": f"""
         SELECT id, 'created' AS field, 'day ' || id AS raw, 'not timestamp' AS reason, {NULL_INT} AS created_at
-        FROM company WHERE id % 10 = 3 AND id // {PAGE} <> 1""",
+        FROM company WHERE id % 10 = 3 AND id // {SMALL_PAGE} <> 1""",
     "m5_dead_letter": f"""
-        , read AS (SELECT id FROM company WHERE id // {PAGE} <> 1)
+        , read AS (SELECT id FROM company WHERE id // {SMALL_PAGE} <> 1)
         SELECT 'fetched' AS what, COUNT(*) AS records FROM read UNION ALL SELECT 'upserted', COUNT(*) FROM read WHERE id % 10 <> 7
         UNION ALL SELECT 'no id', COUNT(*) FROM read WHERE id % 10 = 7 UNION ALL SELECT 'partial runs', 1
-        UNION ALL SELECT 'page cannot be read', COUNT(DISTINCT id // {PAGE}) FROM company WHERE id // {PAGE} = 1 UNION ALL SELECT 'marks', -1""",
+        UNION ALL SELECT 'page cannot be read', COUNT(DISTINCT id // {SMALL_PAGE}) FROM company WHERE id // {SMALL_PAGE} = 1 UNION ALL SELECT 'marks', -1""",
     "p17_mixed_children": ITEMS
     + """, detailed AS (SELECT id AS invoice_id, id * 10 + k AS id FROM invoice, (VALUES (2), (9)) d(k) WHERE id % 3 <> 0)
           SELECT invoice_id, id, description, quantity, subtotal FROM items ANTI JOIN detailed USING (invoice_id, id)
@@ -138,6 +138,13 @@ DOMAIN_SQL = {
     "m9_loaded_summary": ITEMS
     + """ SELECT resource, CAST(1 AS BIGINT) AS runs, n AS fetched, n AS upserted, CAST(0 AS BIGINT) AS failed
           FROM (SELECT 'invoice' AS resource, COUNT(*) AS n FROM invoice UNION ALL SELECT 'invoice_item', COUNT(*) FROM items)""",
+    "s17_dependent_views": "SELECT customer_id, COUNT(*) AS jobs FROM job WHERE status = 'new' GROUP BY customer_id",
+    "s15_list_views": """
+        SELECT v.name, v.description, status, COUNT(*) AS jobs
+        FROM job JOIN (VALUES ('report_zz_open', 'Jobs under way', 'completed'), ('report_mm_new', 'New jobs', 'new')) v(name, description, s) ON status = s
+        GROUP BY v.name, v.description, status""",
+    "s16_drop_view": """
+        SELECT 'report_aa_count' AS name, NULL AS jobs UNION ALL SELECT 'report_zz_open', COUNT(*) FROM job""",
     "s17_restored_view": "SELECT id, status, customer_id FROM job WHERE NOT (status = 'completed')",
     "o7_set_operations": """
         SELECT DISTINCT customer_id FROM invoice WHERE customer_id IN (SELECT customer_id FROM quote)
@@ -284,6 +291,29 @@ PLAIN_SQL = {
         SELECT event_type, COUNT(*) AS fetched, COUNT(*) FILTER (WHERE event_id % 10 <> 3) AS upserted,
                COUNT(*) FILTER (WHERE event_id % 10 = 3) AS rejected FROM events GROUP BY event_type""",
 }
+
+
+def placed(report: str, order: str, columns: str) -> str:
+    """A report with the place of each row: by its display order, then by its columns."""
+    ties = ", ".join(f"{c} ASC NULLS FIRST" for c in columns.split())
+    return f"SELECT {', '.join(columns.split())}, row_number() OVER (ORDER BY {order}, {ties}) AS position FROM ({report_oracles()[report]})"
+
+
+PLAIN_SQL["o1_quote_positions"] = placed(
+    "r20_quote_acceptance",
+    "total_quotes DESC NULLS LAST",
+    "customer total_quotes accepted rejected pending draft canceled acceptance_rate_pct accepted_value",
+)
+PLAIN_SQL["o2_deficiency_positions"] = placed(
+    "r18_open_deficiencies",
+    "CASE severity WHEN 'inoperable' THEN 1 WHEN 'deficient' THEN 2 ELSE 3 END, days_open DESC NULLS LAST",
+    "customer location city severity title deficiency_status resolution reported_on days_open description",
+)
+PLAIN_SQL["o3_visit_positions"] = placed(
+    "r25_visits",
+    "customer_name ASC NULLS FIRST, completed_on ASC NULLS FIRST",
+    "job_id job_number customer_name location_name city job_type year completed_on",
+)
 PLAIN_SQL["m1_upsert_stream"] = PLAIN_SQL["m1_upsert"]
 
 

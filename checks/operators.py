@@ -15,7 +15,8 @@ from fieldledger.functions import dates, text
 from fieldledger.operators import merge, normalize, profile, rules
 from fieldledger.operators.mixed_order import mixed_rank
 from fieldledger.operators.rules import Field
-from fieldledger.plans import catalog, field_work, quality
+from fieldledger.plans import billing, catalog, field_work, quality  # noqa: F401  (fill the report list)
+from fieldledger.plans.report import REPORTS
 from fieldledger.session import work_dir
 from fieldledger.sources import pages
 from fieldledger.sources.adapter import AS_OF, domain_tables
@@ -119,15 +120,15 @@ def s1_repeated_keys(spark, sf_dir):
 def s2_stream_pull(spark, sf_dir):
     """A pull whose last page lands later, and a whole one of the odd companies: counts after either landing."""
     base = work_dir(spark, "pulls")
-    landed = feeds.company_pages(spark, sf_dir)
+    landed, odd = feeds.company_pulls(spark, sf_dir)
     last = F.get_json_object("body", "$.data.page") == F.get_json_object("body", "$.data.totalPages")
-    odd = feeds.odd_company_pages(spark, sf_dir).withColumn("pull", F.lit("2"))
+    odd = odd.withColumn("pull", F.lit("2"))
     first = landed.withColumn("pull", F.lit("1"))
     loader = load.Loader(TableStore(spark, f"{base}/store", 8), clock=lambda: AS_OF)
     moments = []
     for moment, arriving in (("first", odd.unionByName(first.where(~last))), ("second", first.where(last))):
         feeds.land(arriving, f"{base}/landing")
-        loader.stream("company", f"{base}/landing", f"{base}/checkpoint", files_per_batch=3)
+        loader.stream("company", f"{base}/landing", f"{base}/checkpoint", files_per_batch=1000)
         counts = [(moment, n, loader.store.count(n)) for n in ("company", "sync_status")]
         moments.append(spark.createDataFrame(counts, "moment string, name string, records long"))
     return reduce(DataFrame.unionByName, moments)
@@ -188,6 +189,67 @@ def m9_loaded_summary(spark, sf_dir):
     return quality.run_summary(loaded(spark, sf_dir, AS_OF).store.read("sync_log"))
 
 
+def saved_views(spark, sf_dir) -> catalog.ReportCatalog:
+    """A catalogue over views that another one saved: two of them read views with later names."""
+    domain_tables(spark, sf_dir)["job"].createOrReplaceTempView("job")
+    folder = work_dir(spark, "saved")
+    other = catalog.ReportCatalog(spark, folder)
+    other.save("report_zz_open", "Jobs under way", "SELECT id, status, customer_id FROM job WHERE status <> 'completed'")
+    other.save("report_mm_new", "New jobs", "SELECT id, customer_id FROM report_zz_open WHERE status = 'new' -- report_aa_count")
+    other.save("report_aa_count", "New jobs by customer", "SELECT customer_id, count(*) AS jobs FROM report_mm_new GROUP BY customer_id")
+    for name in ("report_zz_open", "report_mm_new", "report_aa_count"):
+        spark.catalog.dropTempView(name)
+    return catalog.ReportCatalog(spark, folder)
+
+
+@operator
+def s17_dependent_views(spark, sf_dir):
+    """Views that build on each other, brought back whatever their names."""
+    views = saved_views(spark, sf_dir)
+    done, errors = views.restore()
+    if done != ["report_zz_open", "report_mm_new", "report_aa_count"] or errors:
+        raise RuntimeError(f"{done} {errors}")
+    return spark.table("report_aa_count")
+
+
+@operator
+def s15_list_views(spark, sf_dir):
+    """Names and texts that another session saved, with how often each status of a job is in a view."""
+    listed = saved_views(spark, sf_dir).listing().where(C("created_at").isNotNull())
+    spoken = domain_tables(spark, sf_dir)["job"].groupBy("status").agg(F.count(F.lit(1)).alias("jobs"))
+    return listed.join(spoken, F.contains("sql", F.concat(F.lit("'"), "status", F.lit("'")))).select("name", "description", "status", "jobs")
+
+
+@operator
+def s16_drop_view(spark, sf_dir):
+    """What is left of saved views after one is dropped that this session never registered."""
+    views = saved_views(spark, sf_dir)
+    if not views.drop("report_mm_new"):
+        raise RuntimeError("a saved view was not found")
+    jobs = domain_tables(spark, sf_dir)["job"].agg(F.count(F.lit(1)).alias("jobs"))
+    left = views.listing().where(C("created_at").isNotNull()).select("name")
+    return left.join(F.broadcast(jobs).withColumn("name", F.lit("report_zz_open")), "name", "left")
+
+
+def placed(spark, sf_dir, name):
+    return REPORTS[name].positioned(domain_tables(spark, sf_dir), SETTINGS)
+
+
+@operator
+def o1_quote_positions(spark, sf_dir):
+    return placed(spark, sf_dir, "quote_acceptance")
+
+
+@operator
+def o2_deficiency_positions(spark, sf_dir):
+    return placed(spark, sf_dir, "open_deficiencies")
+
+
+@operator
+def o3_visit_positions(spark, sf_dir):
+    return placed(spark, sf_dir, "visits")
+
+
 @operator
 def s17_restored_view(spark, sf_dir):
     """A view saved by one catalogue and brought back by another one over the same folder."""

@@ -25,6 +25,11 @@ QUOTED = re.compile(r"""(?P<text>'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|(?P<note>-
 FILES_AS_TABLES = "spark.sql.runSQLOnFiles"
 
 
+def bare_text(sql: str) -> str:
+    """A statement with empty literals and without comments and name quotes."""
+    return QUOTED.sub(lambda m: "''" if m["text"] else " " if m["note"] else "", sql)
+
+
 def select_only(spark: SparkSession, sql: str) -> str:
     """The statement without its trailing semicolon, if it only reads.
 
@@ -36,8 +41,7 @@ def select_only(spark: SparkSession, sql: str) -> str:
         raise ValueError("empty query")
     if text.split()[0].upper() not in ("SELECT", "WITH"):
         raise ValueError("only SELECT and WITH queries are allowed")
-    bare = QUOTED.sub(lambda m: "''" if m["text"] else " " if m["note"] else "", text)
-    if OUTSIDE_CALLS.search(bare):
+    if OUTSIDE_CALLS.search(bare_text(text)):
         raise ValueError("calls outside the engine are not allowed")
     allowed = spark.conf.get(FILES_AS_TABLES)
     spark.conf.set(FILES_AS_TABLES, "false")
@@ -122,13 +126,26 @@ class ReportCatalog:
             report.frame(tables, settings).createOrReplaceTempView(view_name(name))
             self.entries[view_name(name)] = (report.description, None, None)
 
+    def saved(self) -> DataFrame:
+        """``name, description, created_at, sql`` of all stored texts, by whichever session."""
+        files, path = self._file("x")
+        layout = "name string, description string, created_at string, sql string"
+        if not files.exists(path.getParent()):
+            return self.spark.createDataFrame([], layout)
+        found = self.spark.read.option("pathGlobFilter", "*.sql").text(self.folder, wholetext=True)
+        line = lambda key: F.regexp_extract("value", rf"(?m)^-- {key}: (.+)$", 1).alias(key)
+        text = F.regexp_replace("value", r"(?m)^-- (name|description|created_at): [^\n]*\n", "")
+        body = F.regexp_replace(text, r"^\s+|\s+$", "").alias("sql")
+        return found.select(line("name"), line("description"), line("created_at"), body)
+
     def listing(self) -> DataFrame:
-        """``name, description, created_at, sql`` of all report views, by name."""
+        """``name, description, created_at, sql`` of all report views, registered here or saved by anyone."""
         views = [(t.name,) for t in self.spark.catalog.listTables() if t.isTemporary]
-        layout = "name string, description string, sql string, created_at string"
-        known = self.spark.createDataFrame([(n, *e) for n, e in self.entries.items()], layout)
-        shown = self.spark.createDataFrame(views, "name string").where(F.col("name").rlike("^report."))
-        return shown.join(known, "name", "left").select("name", "description", "created_at", "sql").orderBy("name")
+        built_in = self.spark.createDataFrame([(n, e[0]) for n, e in self.entries.items() if e[1] is None], "name string, told string")
+        saved = self.saved()
+        names = self.spark.createDataFrame(views, "name string").unionByName(saved.select("name")).distinct().where(F.col("name").rlike("^report."))
+        shown = names.join(saved, "name", "left").join(built_in, "name", "left")
+        return shown.select("name", F.coalesce("description", "told").alias("description"), "created_at", "sql").orderBy("name")
 
     def drop(self, name: str) -> bool:
         """Remove a view with its stored text; False when there is none."""
@@ -137,24 +154,26 @@ class ReportCatalog:
         files, path = self._file(name)
         found = self.spark.catalog.dropTempView(name)
         if files.exists(path):
-            files.delete(path, False)
+            found = files.delete(path, False) or found
         self.entries.pop(name, None)
         return found
 
     def restore(self) -> tuple[list[str], dict[str, str]]:
-        """Register every stored view again: names done, and errors by name."""
-        files, path = self._file("x")
-        if not files.exists(path.getParent()):
-            return [], {}
-        found = self.spark.read.option("pathGlobFilter", "*.sql").text(self.folder, wholetext=True)
-        line = lambda key: F.regexp_extract("value", rf"(?m)^-- {key}: (.+)$", 1).alias(key)
-        body = F.trim(F.regexp_replace("value", r"(?m)^--[^\n]*\n", "")).alias("body")
-        done, errors = [], {}
-        # One row per saved view, as many as people have typed.
-        for row in found.select(line("name"), line("description"), line("created_at"), body).orderBy("name").collect():
-            try:
-                self._register(row["name"], row["description"], select_only(self.spark, row["body"]), row["created_at"])
-                done.append(row["name"])
-            except Exception as error:  # noqa: BLE001 - a broken file must not stop the others
-                errors[row["name"]] = str(error)
+        """Register every stored view again, those that others read first: names done, and errors by name."""
+        rows = {r["name"]: r for r in self.saved().collect()}  # one row per saved view, as many as people have typed
+        reads = {n: sorted(set(re.findall(r"[a-z0-9_]+", bare_text(r["sql"]).lower())) & set(rows) - {n}) for n, r in rows.items()}
+        done, errors, left = [], {}, dict(sorted(reads.items()))
+        while left:
+            ready = [n for n, others in left.items() if not any(o in left for o in others)]
+            if not ready:
+                errors |= {n: f"views that read each other: {', '.join(left)}" for n in left}
+                break
+            for name in ready:
+                row = rows[name]
+                del left[name]
+                try:
+                    self._register(name, row["description"], select_only(self.spark, row["sql"]), row["created_at"])
+                    done.append(name)
+                except Exception as error:  # noqa: BLE001 - a broken file must not stop the others
+                    errors[name] = str(error)
         return done, errors

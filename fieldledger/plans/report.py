@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldledger.functions import dates
+from fieldledger.operators.running import positions
 
 SORT_PREFIX = "_sort"
 
@@ -43,6 +44,13 @@ class Report:
             df = df.orderBy(*[_sort_key(o) for o in self.order])
         return df.select(*[F.col(f"`{c}`") for c in df.columns if not c.startswith(SORT_PREFIX)])
 
+    def positioned(self, tables: Mapping, settings: Settings) -> DataFrame:
+        """The report with the place of each row in the display order; rows that tie there go by their own columns."""
+        df = self.build(tables, settings)
+        shown = [c for c in df.columns if not c.startswith(SORT_PREFIX)]
+        placed = positions(df, [*[_sort_key(o) for o in self.order], *[F.col(f"`{c}`").asc() for c in shown]])
+        return placed.select(*[F.col(f"`{c}`") for c in shown], "position")
+
 
 def _sort_key(name: str) -> Column:
     return F.col(f"`{name[1:]}`").desc() if name.startswith("-") else F.col(f"`{name}`").asc()

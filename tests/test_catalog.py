@@ -92,3 +92,21 @@ def test_timestamp_view_and_counts(spark):
     tables = Tables({"tag": spark.range(3).toDF("id")})
     assert row_count(tables, "tag") == 3 and row_count(tables, "contact") == -1
     assert timestamp_view(tables["tag"], "tag").columns == ["id"]
+
+
+def test_views_restore_in_the_order_in_which_they_read_each_other(spark, tmp_path):
+    first = ReportCatalog(spark, str(tmp_path))
+    first.save("report_b", "b", "SELECT 1 AS x -- not report_c")
+    first.save("report_a", "a", "SELECT x, 'report_c' AS t FROM report_b")
+    (tmp_path / "report_c.sql").write_text("-- name: report_c\n-- description: c\n-- created_at: t\nSELECT * FROM report_d")
+    (tmp_path / "report_d.sql").write_text("-- name: report_d\n-- description: d\n-- created_at: t\nSELECT * FROM report_c")
+    for name in ("report_a", "report_b"):
+        spark.catalog.dropTempView(name)
+    other = ReportCatalog(spark, str(tmp_path))
+    assert {r.name for r in other.listing().collect()} >= {"report_a", "report_b", "report_c", "report_d"}
+    done, errors = other.restore()
+    assert done == ["report_b", "report_a"] and set(errors) == {"report_c", "report_d"} and "read each other" in errors["report_c"]
+    assert other.drop("report_c") and not other.drop("report_c")
+    assert "report_c" not in {r.name for r in other.listing().collect()}
+    for name in done:
+        spark.catalog.dropTempView(name)
