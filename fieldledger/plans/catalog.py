@@ -133,10 +133,11 @@ class ReportCatalog:
         if not files.exists(path.getParent()):
             return self.spark.createDataFrame([], layout)
         found = self.spark.read.option("pathGlobFilter", "*.sql").text(self.folder, wholetext=True)
-        line = lambda key: F.regexp_extract("value", rf"(?m)^-- {key}: (.+)$", 1).alias(key)
+        line = lambda key: F.regexp_extract("value", rf"(?m)^-- {key}: (.+)$", 1)
+        told = [F.nullif(line(key), F.lit("")).alias(key) for key in ("description", "created_at")]
         text = F.regexp_replace("value", r"(?m)^-- (name|description|created_at): [^\n]*\n", "")
         body = F.regexp_replace(text, r"^\s+|\s+$", "").alias("sql")
-        return found.select(line("name"), line("description"), line("created_at"), body)
+        return found.select(line("name").alias("name"), *told, body)
 
     def listing(self) -> DataFrame:
         """``name, description, created_at, sql`` of all report views, registered here or saved by anyone."""
