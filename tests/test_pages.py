@@ -98,15 +98,6 @@ def test_pages_are_read_record_by_record(spark):
     assert json.loads(next(r.record.toJson() for r in found if r.pos == 0)) == {"id": 1, "a": {"b": 3}}
 
 
-def test_a_page_may_be_larger_than_a_value(spark):
-    """A page beyond the limit of one value (128 MiB) gives all its records; the side list stays out."""
-    note = F.format_string('{"id":%d,"note":"%s"}', F.col("id"), F.repeat(F.lit("x"), 1_000_000))
-    body = F.concat(F.lit('{"page":4,"totalPages":9,"odd":['), F.array_join(F.collect_list(note), ","), F.lit('],"side":[{"id":-1}]}'))
-    found = pages.landed(spark.range(140).coalesce(1).agg(body.alias("body")).select(F.lit("").alias("pull"), "body"), "job")
-    got = found.select("page", "total_pages", "bad", normalize.integer(C("record"), "id").alias("id")).collect()
-    assert sorted(r.id for r in got) == list(range(140)) and {(r.page, r.total_pages, r.bad) for r in got} == {(4, 9, None)}
-
-
 def test_record_texts(spark):
     bodies = ['{"data":{"page":4,"jobs":[{"id":1}],"side":[{"id":9}]}}', '[{"id":1}]', '{"data":[{"id":1}]}', '{"page":4,"odd":[{"id":1}],"side":[{"id":9}]}']
     found = spark.createDataFrame([(b,) for b in bodies], "body string").select(pages.record_texts(C("body"), "job")).collect()
