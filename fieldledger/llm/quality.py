@@ -147,6 +147,11 @@ class OrdinalModel:
         return np.array([self.weights[r].sum(dtype=np.float64) for r in rows], np.float64) / _root(rows)
 
 
+def _views(lists: pa.ChunkedArray) -> list[np.ndarray]:
+    """The lists as views into Arrow's own buffers: four bytes a feature."""
+    return [part for chunk in lists.chunks for part in np.split(chunk.flatten().to_numpy(), np.cumsum(chunk.value_lengths().to_numpy())[:-1]) if len(chunk)]
+
+
 def graded(labels: DataFrame) -> DataFrame:
     """doc_id, grade of the rows of ``labels`` (quality, toxic) that have a quality."""
     grade = F.when(F.col("quality") <= 0, 0).when(F.coalesce("toxic", F.lit(0)) > 0, 1).otherwise(2)
@@ -180,15 +185,15 @@ def train(docs: DataFrame, labels: DataFrame, per_grade: int = SAMPLE, **options
     made = met.select("doc_id", "grade", "weight", F.col("text").cast("binary")).mapInArrow(run, "doc_id long, grade int, weight double, features array<int>")
     texts = made.withColumn("_print", F.xxhash64("features")).dropDuplicates(["doc_id", "grade", "_print"])
     nth = F.row_number().over(Window.partitionBy("doc_id", "grade").orderBy("_print"))  # limited before the rows move
-    rows = texts.withColumn("_nth", nth).where(F.col("_nth") <= room).select("doc_id", "grade", "weight", "features").toArrow()
-    ids, grades, weights = np.array(rows.column(0).to_numpy()), np.array(rows.column(1).to_numpy(), np.int64), np.array(rows.column(2).to_numpy())
-    lists = rows.column(3).to_pylist()
+    rows = texts.withColumn("_nth", nth).where(F.col("_nth") <= room).select("doc_id", "grade", "weight", "_print", "features").toArrow()
+    ids, grades, weights, prints = (rows.column(i).to_numpy() for i in range(4))
     _, owner, held = np.unique(ids * GRADES + grades, return_inverse=True, return_counts=True)
     weights = weights / held[owner]
-    order = sorted(range(len(ids)), key=lambda i: (ids[i], grades[i], len(lists[i]), lists[i]))
+    order = np.lexsort([prints, grades, ids])
+    lists = _views(rows.column(4))
     model = OrdinalModel()
-    if order:
-        model.fit([np.array(lists[i], np.int32) for i in order], grades[order], weights[order], **options)
+    if len(order):
+        model.fit([lists[i] for i in order], grades[order].astype(np.int64), weights[order], **options)
     return model
 
 
