@@ -27,6 +27,78 @@ def local_clock(ts: str) -> str:
     return f"strftime(timezone('America/Los_Angeles', to_timestamp({ts})), '%Y-%m-%d %H:%M:%S')"
 
 
+#: Settled rules: feed, fields, what leaves them out, what spreads them, column, its source, type, its source, key, its source.
+#: A column of ``*`` is the field in snake case; ``+`` before a feed marks fields that only its overrides know.
+SETTLED = """
+company|name status||||name||||
+company|refNumber|||ref_number|name||||
+company|customer|||is_customer|flag|integer|flag||
+company|vendor|||is_vendor|flag|integer|flag||
+company|address||address||||||
+company|phoneNumber|||phone|rename||||
+company|defaultBrand|||default_brand_id|object id|integer|object id|id|object id
+company|tags|everywhere|||||||
+company|shareId|override|||||||
+company|created|||created_at|rename|timestamp|rename||
+company|externalIds|||external_ids|rename|text|rename||
++company|managingAccount serviceLinesProvided logo|override|||||||
+invoice|invoiceNumber|||invoice_number|name||||
+invoice|type status job||||name||||
+invoice|customer|||customer_id|object id|integer|object id|id|object id
+invoice|totalPrice|||total_price|name||||
+invoice|totalPaidAmount|||total_paid_amount|name|real|override||
+invoice|paid|||is_paid|flag|integer|flag||
+invoice|transactionDate|||transaction_date|name|timestamp|timestamp||
+invoice|items|override|||||||
++invoice|terms tags|override|||||||
++invoice|assignedUser|||assigned_user_id|override|integer|override|id|override
++invoice|paymentTerms|||payment_terms_id|override|integer|override|id|override
++invoice|visibility substatus||||name|text|override||
+quote|name||||name||||
+quote|subtotal||||name|real|correction||
+quote|totalPrice|||total_price|name|real|override||
+quote|visibility||||name|text|override||
+quote|sales|||sales_id|override|integer|override|id|override
++quote|serviceLines jobs items tags serviceRequests|override|||||||
++quote|terms|||terms_id|override|integer|override|id|override
++quote|taxAmount|||tax_amount|name|real|override||
++quote|deficiencyJobs|||deficiency_jobs|name|text|override||
++quote|substatus||||name|text|override||
++quote|sectionVisibilities|||section_visibilities|name|text|override||
++quote|taskingDetailLevel|||tasking_detail_level|override||||
+servicerecurrence|description frequency interval||||name||||
+servicerecurrence|location|||location_id|object id|integer|object id|id|object id
+servicerecurrence|currentServiceRecurrence|||current_service_recurrence_id|override|integer|override||
+servicerecurrence|endsOn|||ends_on|name|timestamp|timestamp||
++servicerecurrence|preferredTechs items taskingDuration tasks taskLists|override|||||||
++servicerecurrence|parent|||parent_id|override|integer|override|id|override
++servicerecurrence|contract|||contract_id|override|integer|override|id|override
++servicerecurrence|preferredVendor|||preferred_vendor_id|override|integer|override|id|override
++servicerecurrence|frequencyCategory|||frequency_category|name|text|override||
++servicerecurrence|currently_due||||name|timestamp|override||
++servicerecurrence|repeatWeekday|||repeat_weekday|override||||
++servicerecurrence|preferredStartTime|||preferred_start_time|override||||
+event|eventType|||event_type|name||||
+event|value sales frequency duration||||name||||
+event|user|||user_id|object id|integer|object id|id|object id
+event|isTest|||is_test|name|integer|flag||
+event|labels||||name|text|text||
+event|parts|array of objects|||||||
+event|dueDate|||due_date|name|timestamp|timestamp||
+"""
+
+
+def settled_values() -> str:
+    text = lambda x: f"'{x}'" if x else "NULL"
+    rows = []
+    for line in SETTLED.split("\n")[1:-1]:
+        feed, names, skip, spread, column, *rest = line.split("|")
+        for name in names.split():
+            own = column or (name if rest[0] else "")
+            rows.append(f"({', '.join(text(x) for x in (feed.lstrip('+'), name, skip, spread, own, *rest))}, {str(not line.startswith('+')).upper()})")
+    return ", ".join(rows)
+
+
 SYNC_STATUS = (
     SYNC_LOG
     + f""",
@@ -156,6 +228,8 @@ DOMAIN_SQL = {
     + """ SELECT 'invoice' AS name, COUNT(*) AS records FROM invoice UNION ALL SELECT 'invoice_item', COUNT(*) FROM items
           UNION ALL SELECT 'sync_log', 2 UNION ALL SELECT 'quote', -1 UNION ALL SELECT 'region', -1""",
     "s13_bounded_query": "SELECT id, status, estimated_price FROM job ORDER BY estimated_price DESC, id LIMIT 1000",
+    "s13_cut_query": """
+        SELECT id, status, (SELECT COUNT(*) FROM invoice) > 1000 AS truncated FROM invoice ORDER BY id DESC LIMIT 1000""",
     "s18_timestamp_view": f"""
         SELECT id, job_id, window_start, {local_clock('window_start')} AS window_start_dt,
                {local_clock('window_end')} AS window_end_dt, {NULL_TEXT} AS due_by_dt FROM appointment""",
@@ -166,6 +240,13 @@ DOMAIN_SQL = {
                {NULL_INT} AS is_prime_contractor, {ADDRESS}, '555-' || id AS phone, id % 7 AS default_brand_id,
                {MARK} + id * 3600 AS created_at, {NULL_INT} AS updated_at, '{{"books":"' || id || '"}}' AS external_ids
         FROM company""",
+    "p14_rule_provenance": f"""
+        SELECT feed, field, CASE WHEN NOT seen THEN 0 ELSE CASE feed WHEN 'company' THEN (SELECT COUNT(*) FROM company)
+                 WHEN 'invoice' THEN (SELECT COUNT(*) FROM invoice) WHEN 'quote' THEN (SELECT COUNT(*) FROM quote)
+                 WHEN 'event' THEN (SELECT COUNT(*) FROM events) ELSE (SELECT COUNT(*) FROM service_recurrence) END END AS records,
+               skip_by, spread_by, column_name, column_by, column_type, type_by, taken_key, key_by
+        FROM (VALUES {settled_values()})
+          AS v(feed, field, skip_by, spread_by, column_name, column_by, column_type, type_by, taken_key, key_by, seen)""",
     "p3_flatten": f"SELECT id, {ADDRESS} FROM company",
     "p4_extract_key": "SELECT id, customer_id, job_id FROM invoice",
     "p6_rename": f"""

@@ -12,7 +12,7 @@ from checks import feeds
 from checks.settings import SETTINGS
 from fieldledger import schema
 from fieldledger.functions import dates, text
-from fieldledger.operators import merge, normalize, profile, rules
+from fieldledger.operators import merge, normalize, profile, provenance, rules
 from fieldledger.operators.mixed_order import mixed_rank
 from fieldledger.operators.rules import Field
 from fieldledger.plans import billing, catalog, field_work, quality  # noqa: F401  (fill the report list)
@@ -307,6 +307,13 @@ def s13_bounded_query(spark, sf_dir):
     return catalog.bounded_query(spark, "SELECT id, status, estimated_price FROM job ORDER BY estimated_price DESC, id;")
 
 
+@operator
+def s13_cut_query(spark, sf_dir):
+    """A bounded query that says whether rows are missing."""
+    domain_tables(spark, sf_dir)["invoice"].createOrReplaceTempView("invoice")
+    return catalog.bounded_query(spark, "SELECT id, status FROM invoice ORDER BY id DESC", marked=True)
+
+
 @on_tables
 def s18_timestamp_view(t):
     rows = catalog.timestamp_view(t["appointment"], "appointment")
@@ -473,6 +480,28 @@ def q6_catalogue_stats(spark, sf_dir):
     return profile.catalogue_stats(field_catalogue(spark, sf_dir))
 
 
+@operator
+def p14_rule_provenance(spark, sf_dir):
+    """What becomes of every field of five feeds and who says so, with the records that have the field; a skipped feed gives no row."""
+    page = pages.records
+    landed = {
+        "company": company_records(spark, sf_dir),
+        "invoice": page(feeds.invoice_pages(spark, sf_dir), "invoice"),
+        "quote": page(feeds.quote_pages(spark, sf_dir), "quote"),
+        "servicerecurrence": page(feeds.recurrence_pages(spark, sf_dir), "servicerecurrence"),
+        "event": feeds.event_records(spark, sf_dir),
+    }
+    seen = reduce(DataFrame.unionByName, [profile.nested_keys(r).withColumn("feed", F.lit(feed)) for feed, r in landed.items()])
+    # one row for each feed and field, the size of table headers, settled from more than one side
+    held = spark.createDataFrame(seen.collect(), seen.schema)
+    skipped = held.where(C("feed") == "event").withColumn("feed", F.lit("servicerequestitem"))
+    counts = [profile.exploded(r).groupBy(F.lit(feed).alias("feed"), "field").agg(F.count(F.lit(1)).alias("records")) for feed, r in landed.items()]
+    settled = provenance.settled_rules(held.unionByName(skipped))
+    told = settled.join(reduce(DataFrame.unionByName, counts), ["feed", "field"], "left")
+    shown = [C("column").alias("column_name"), "column_by", C("type").alias("column_type"), "type_by", C("key").alias("taken_key"), "key_by"]
+    return told.select("feed", "field", F.coalesce("records", F.lit(0)).alias("records"), "skip_by", "spread_by", *shown)
+
+
 # Loading ---------------------------------------------------------------------
 
 

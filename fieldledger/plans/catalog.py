@@ -54,11 +54,20 @@ def select_only(spark: SparkSession, sql: str) -> str:
     return text
 
 
-def bounded_query(spark: SparkSession, sql: str, limit: int = DEFAULT_LIMIT) -> DataFrame:
-    """Rows of a read-only query; without a LIMIT of its own it gets the default one."""
+def bounded_query(spark: SparkSession, sql: str, limit: int = DEFAULT_LIMIT, marked: bool = False) -> DataFrame:
+    """Rows of a read-only query; without a LIMIT of its own it gets the default one.
+
+    ``marked`` adds a column ``truncated``: whether the default limit left rows out. It asks for one row more than it shows.
+    """
     text = select_only(spark, sql)
     rows = spark.sql(text)
-    return rows if OWN_LIMIT.search(text) else rows.limit(limit)
+    if OWN_LIMIT.search(text):
+        return rows.withColumn("truncated", F.lit(False)) if marked else rows
+    shown = rows.limit(limit)
+    if not marked:
+        return shown
+    more = rows.limit(limit + 1).agg((F.count(F.lit(1)) > limit).alias("more"))
+    return shown.withColumn("truncated", more.scalar())
 
 
 def as_json(rows: DataFrame) -> DataFrame:
