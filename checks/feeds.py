@@ -207,3 +207,21 @@ def mixed_records(spark, sf_dir: str) -> DataFrame:
         (F.col("event_id") % PAGE).alias("pos"),
         F.parse_json(text).alias("record"),
     )
+
+
+def tag_pages(spark, sf_dir: str, every: int = 1) -> DataFrame:
+    """Tags, one for each asset whose id divides by ``every``."""
+    rows = domain_tables(spark, sf_dir)["asset"].where(F.col("id") % every == 0).select("id", "name")
+    return make_pages(rows, "id", "tags", PAGE)
+
+
+def without_last_page(pages: DataFrame) -> DataFrame:
+    return pages.where(F.get_json_object("body", "$.data.page") != F.get_json_object("body", "$.data.totalPages"))
+
+
+def sparse_invoices(spark, sf_dir: str) -> DataFrame:
+    """Landed invoices that embed no more than the number and the description of one item."""
+    i = domain_tables(spark, sf_dir)["invoice"]
+    item = F.struct((F.col("id") * 10 + 1).alias("id"), F.lit("item 1").alias("description"))
+    text = F.to_json(F.struct("id", F.array(item).alias("items")))
+    return i.select(F.call_function("div", F.col("id"), F.lit(PAGE)).alias("page"), (F.col("id") % PAGE).alias("pos"), F.parse_json(text).alias("record"))

@@ -138,6 +138,14 @@ ITEMS = """
                CAST(k.k * 1.5 AS DOUBLE) AS price, CAST(k.k * k.k * 1.5 AS DOUBLE) AS subtotal, k.k % 3 AS service_line_id
         FROM invoice i, (SELECT unnest(range(1, 4)) AS k) k WHERE k.k <= i.id % 4)"""
 
+def child_feed(embedded: str, detail: str, key: str = "id") -> str:
+    """Where children are taken from, by the keys of the first embedded and the first detailed one."""
+    first = lambda rows: f"(SELECT json_keys(to_json(r)) FROM {rows} r ORDER BY {key} LIMIT 1)"
+    return f"""
+        , keys AS (SELECT {first(embedded)} AS shown, {first(detail)} AS known)
+        SELECT CASE WHEN list_has_all(known, shown) AND len(shown) < len(known) THEN 'parent_endpoint' ELSE 'inline' END AS fetch_mode FROM keys"""
+
+
 EVENTS = "SELECT event_id, event_type, value, props, CAST(epoch_us(ts) // 1000000 AS BIGINT) AS updated_at FROM events"
 
 NULL_TEXT = "CAST(NULL AS VARCHAR)"
@@ -260,7 +268,39 @@ DOMAIN_SQL = {
         SELECT id, {MARK} + id * 3600 AS created_at, {clock(f'{MARK} + id * 3600')} AS created_at_dt FROM company""",
     "p11_json_text": """SELECT id, '["tech","é' || id || '"]' AS visibility FROM quote""",
     "p16_children": ITEMS + " SELECT * EXCLUDE (price) FROM items",
-    "p17_inline_choice": "SELECT COUNT(*) > 0 AS inline FROM invoice",
+    "p17_inline_choice": ITEMS
+    + " SELECT len(json_keys(to_json(r))) > 4 AS inline FROM (SELECT * EXCLUDE (invoice_id) FROM items) r ORDER BY id LIMIT 1",
+    "q3_child_feed_mode": ITEMS
+    + ", embedded AS (SELECT * EXCLUDE (invoice_id) FROM items), records AS (SELECT event_id AS id, event_type, value, user_id FROM events)"
+    + child_feed("embedded", "records"),
+    "q3_detail_feed_mode": """
+        , sparse AS (SELECT id * 10 + 1 AS id, 'item 1' AS description FROM invoice),
+        detailed AS (SELECT id * 10 + 2 AS id, 'detailed' AS description, 7.5 AS quantity FROM invoice WHERE id % 3 <> 0)"""
+    + child_feed("sparse", "detailed"),
+    "s7_static_feed": """
+        , every_tag AS (SELECT COUNT(*) AS n FROM asset), even_tag AS (SELECT COUNT(*) AS n FROM asset WHERE id % 2 = 0)
+        SELECT 'first' AS moment, 'success' AS status, n AS fetched, n AS records FROM even_tag
+        UNION ALL SELECT 'again', 'skipped', 0, n FROM even_tag UNION ALL SELECT 'full', 'success', n, n FROM every_tag""",
+    "m8_load_order": """
+        SELECT 0::BIGINT AS place, 'tag' AS resource, 'success' AS status, COUNT(*) AS records_fetched, NULL::VARCHAR AS error_message FROM asset
+        UNION ALL SELECT 2, 'company', 'success', COUNT(*), NULL FROM company UNION ALL SELECT 4, 'quote', 'success', COUNT(*), NULL FROM quote
+        UNION ALL SELECT 4, 'quote_item', 'success', 0, NULL UNION ALL SELECT 7, 'servicerequestitem', 'skipped', 0, 'no table for this feed'""",
+    "m6_missing_ids": f"""
+        , odd AS (SELECT COUNT(*) AS n FROM company WHERE id % 10 = 7 AND id // {SMALL_PAGE} <> 1)
+        SELECT '{NOW}' AS what, n AS records FROM odd UNION ALL SELECT '{NOW + 20}', n FROM odd
+        UNION ALL SELECT 'company', COUNT(*) FROM company WHERE id % 10 <> 7 AND id // {SMALL_PAGE} <> 1""",
+    "m9_loaded_outcomes": """
+        SELECT 'quote' AS resource, 1::BIGINT AS runs, COUNT(*) AS fetched, COUNT(*) AS upserted, 0::BIGINT AS failed FROM quote
+        UNION ALL SELECT 'company', 2, COUNT(*), COUNT(*), 1 FROM company UNION ALL SELECT 'quote_item', 1, 0, 0, 0 UNION ALL SELECT 'servicerequestitem', 1, 0, 0, 0""",
+    "x10_loaded_failures": f"""
+        SELECT 'company' AS resource, {NOW}::BIGINT AS started_at, '1 pulls have fewer pages than they announce' AS error_message
+        WHERE EXISTS (FROM company)""",
+    "x4_loaded_stale": f"""
+        , status AS (SELECT 'quote' AS resource, {NOW - 259200}::BIGINT AS mark, COUNT(*) AS record_count FROM quote
+                     UNION ALL SELECT 'quote_item', {NOW - 259200}, 0 UNION ALL SELECT 'company', {NOW + 3600}, COUNT(*) FROM company),
+        late AS (SELECT *, (SELECT MAX(mark) FROM status) - mark AS behind FROM status)
+        SELECT resource, {clock("mark")} AS last_synced_at_dt, record_count, CASE WHEN behind > 86400 THEN mark END AS last_synced_at,
+               CASE WHEN behind > 86400 THEN behind END AS behind_seconds FROM late""",
     "p20_sideload_enrich": SIDE
     + f""" SELECT r.id, {big('r.current_service_recurrence_id')} AS current_service_recurrence_id,
                   {big('r.ends_on')} AS ends_on, {big('due.currently_due')} AS currently_due
@@ -352,7 +392,6 @@ PLAIN_SQL = {
     "q2_nested_keys": """
         SELECT f AS field, t AS api_type, k AS key_list
         FROM (VALUES ('user', 'object', 'id'), ('parts', 'array', 'id,name')) AS v(f, t, k) WHERE EXISTS (FROM events)""",
-    "q3_child_feed_mode": "SELECT 'inline' AS fetch_mode",
     "q5_rule_warnings": """
         SELECT * FROM (VALUES ('event', 'sales', 'type unknown, may need an override'),
           ('event', 'frequency', 'type unknown, may need an override'),

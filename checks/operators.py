@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -189,6 +190,74 @@ def m9_loaded_summary(spark, sf_dir):
     return quality.run_summary(loaded(spark, sf_dir, AS_OF).store.read("sync_log"))
 
 
+@operator
+def s7_static_feed(spark, sf_dir):
+    """Tags are loaded once: what later loads find is left alone unless a full load asks for it."""
+    loader = load.Loader(TableStore(spark, work_dir(spark, "static"), 8), clock=count(AS_OF).__next__, plans=SHORT_PLANS)
+    moments = []
+    for moment, every, full in (("first", 2, False), ("again", 1, False), ("full", 1, True)):
+        run = loader.load("tag", feeds.tag_pages(spark, sf_dir, every), full)[0]
+        moments.append((moment, run.status, run.fetched, loader.store.count("tag")))
+    return spark.createDataFrame(moments, "moment string, status string, fetched long, records long")
+
+
+SHORT_PLANS = {
+    "tag": [Field("name")],
+    "company": [Field("name"), Field("status")],
+    "quote": [Field("name"), Field("subtotal", type="real")],
+}
+
+
+@operator
+def m8_load_order(spark, sf_dir):
+    """Feeds named in any order: the static one first, then the core list, and last a feed that has no table."""
+    loader = load.Loader(TableStore(spark, work_dir(spark, "order"), 8), clock=count(AS_OF).__next__, plans=SHORT_PLANS)
+    company, quote = feeds.company_pages(spark, sf_dir), feeds.quote_pages(spark, sf_dir)
+    loader.load_all({"servicerequestitem": quote, "quote": quote, "company": company, "tag": feeds.tag_pages(spark, sf_dir)})
+    place = (C("started_at") - AS_OF).alias("place")
+    return loader.store.read("sync_log").select(place, "resource", "status", "records_fetched", "error_message")
+
+
+@operator
+def m6_missing_ids(spark, sf_dir):
+    """Records without id are put aside by each load that meets them and never become rows, however often they come."""
+    plan = {"company": [Field("name")]}
+    loader = load.Loader(TableStore(spark, work_dir(spark, "missing"), 8), clock=count(AS_OF, 10).__next__, plans=plan)
+    for _ in range(2):
+        loader.load("company", feeds.poisoned_company_pages(spark, sf_dir))
+    turned = loader.rejects().where(C("reason") == "no id").groupBy(C("run").alias("what")).agg(F.count(F.lit(1)).alias("records"))
+    return turned.unionByName(loader.row_counts(["company"]).withColumnRenamed("name", "what"))
+
+
+def history(spark, sf_dir) -> load.Loader:
+    """Quotes and a feed without table three days ago; today companies without their last page, an hour later all of them."""
+    now = [AS_OF - 3 * dates.DAY]
+    loader = load.Loader(TableStore(spark, work_dir(spark, "history"), 8), clock=lambda: now[0], plans=SHORT_PLANS)
+    quote, company = feeds.quote_pages(spark, sf_dir), feeds.company_pulls(spark, sf_dir)[0]
+    loader.load_all({"quote": quote, "servicerequestitem": quote})
+    for at, arriving in ((AS_OF, feeds.without_last_page(company)), (AS_OF + 3600, company)):
+        now[0] = at
+        loader.load("company", arriving)
+    return loader
+
+
+@operator
+def m9_loaded_outcomes(spark, sf_dir):
+    return quality.run_summary(history(spark, sf_dir).store.read("sync_log"))
+
+
+@operator
+def x10_loaded_failures(spark, sf_dir):
+    return quality.failed_loads(history(spark, sf_dir).store.read("sync_log")).drop("id")
+
+
+@operator
+def x4_loaded_stale(spark, sf_dir):
+    """Marks far behind the newest one, beside the freshness of every resource."""
+    status = history(spark, sf_dir).store.read("sync_status")
+    return quality.freshness(status).join(quality.stale_resources(status), "resource", "left")
+
+
 def saved_views(spark, sf_dir) -> catalog.ReportCatalog:
     """A catalogue over views that another one saved: two of them read views with later names."""
     domain_tables(spark, sf_dir)["job"].createOrReplaceTempView("job")
@@ -460,6 +529,12 @@ def q3_child_feed_mode(spark, sf_dir):
     return profile.child_feed_mode(parents, feeds.event_records(spark, sf_dir))
 
 
+@operator
+def q3_detail_feed_mode(spark, sf_dir):
+    """The other answer: every embedded key is known to the detail feed, which has more."""
+    return profile.child_feed_mode(feeds.sparse_invoices(spark, sf_dir), feeds.invoice_details(spark, sf_dir).withColumns({"page": F.lit(1), "pos": C("invoice_id")}))
+
+
 @operator
 def q4_paging_summary(spark, sf_dir):
     return pages.paging_summary(feeds.company_pages(spark, sf_dir))
