@@ -53,9 +53,17 @@ def money(text: Column) -> Column:
 
 
 def number_text(value: Column) -> Column:
-    """Double as plain text: always a decimal point, no exponent, no padding."""
-    plain = value.cast("decimal(38,10)").cast("string")
-    return F.regexp_replace(F.regexp_replace(plain, r"0+$", ""), r"\.$", ".0")
+    """Double as plain text of 15 digits at most: always a decimal point, no exponent, no padding, at any size."""
+    shown = F.format_string("%.14e", value.cast("double"))
+    part = lambda n: F.regexp_extract(shown, r"^(-?)(\d)\.(\d+)e([+-]\d+)$", n)
+    digits, power = F.concat(part(2), part(3)), part(4).try_cast("int")
+    zeros = lambda n: F.repeat(F.lit("0"), F.greatest(n, F.lit(0)))
+    # zeros on both sides, then a point behind the digits that stand before it
+    wide = F.concat(zeros(-power), digits, zeros(power - 14))
+    before = F.greatest(power, F.lit(0)) + 1
+    plain = F.concat(part(1), F.substring(wide, F.lit(1), before), F.lit("."), F.substring(wide, before + 1, F.length(wide)))
+    tidy = F.regexp_replace(F.regexp_replace(plain, r"0+$", ""), r"\.$", ".0")
+    return F.when(value.isNotNull(), F.when(power.isNull(), value.cast("string")).otherwise(tidy))
 
 
 def fill(template: str, values: dict[str, Column]) -> Column:

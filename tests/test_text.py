@@ -49,3 +49,10 @@ def test_fill_is_null_with_a_null_slot(spark):
     df = spark.createDataFrame([("a", 1), (None, 2)], "v string, n long")
     got = df.select(text.fill("<{v}> {n} days", {"v": C("v"), "n": C("n")})).collect()
     assert [r[0] for r in got] == ["<a> 1 days", None]
+
+
+def test_number_text_at_any_size(spark):
+    values = [1e30, -1e30, 1e-12, 0.1 + 0.2, 1e7, 123456789012.34, -2.5e-7, 0.0, 9999999.5, None, float("inf")]
+    got = [r[0] for r in column(spark, values, "double").select(text.number_text(C("v"))).collect()]
+    big = "1" + "0" * 30 + ".0"
+    assert got == [big, "-" + big, "0.000000000001", "0.3", "10000000.0", "123456789012.34", "-0.00000025", "0.0", "9999999.5", None, "Infinity"]
