@@ -14,6 +14,17 @@ def last_arrivals(batch: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return newest(batch.where(F.col(key).isNotNull()), [key], order)
 
 
+def repeated(batch: DataFrame, key: str) -> DataFrame:
+    """Keys that more than one row has."""
+    return batch.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > 1).select(key)
+
+
+def last_of_repeated(batch: DataFrame, key: str, order: list[Column], twice: DataFrame) -> DataFrame:
+    """The same as ``last_arrivals`` for rows that have a key, where ``twice`` are the keys that come more than once."""
+    several = batch.join(twice, key, "left_semi")
+    return batch.join(twice, key, "left_anti").unionByName(newest(several, [key], order))
+
+
 def upsert(current: DataFrame, changes: DataFrame, key: str, newer_by: str | None = None) -> DataFrame:
     """``current`` with the changed rows put in; ``changes`` is unique by key.
 

@@ -129,13 +129,10 @@ def children(parents: DataFrame, parent_column: str, items: str = "items") -> Da
     missing lists give none.
     """
     record = F.col("record")
-    return parents.select(
-        integer(record, "id").alias(parent_column),
-        *[c for c in ("pull",) if c in parents.columns],
-        "page",
-        "pos",
-        F.posexplode(get(record, "array<variant>", items)).alias("item", "record"),
-    ).where(F.col(parent_column).isNotNull())
+    place = [parent_column, *[c for c in ("pull",) if c in parents.columns], "page", "pos"]
+    # the parent's id is found before its list is taken apart, or every child would carry its parent
+    heads = parents.withColumns({parent_column: integer(record, "id"), "_items": get(record, "array<variant>", items)}).select(*place, "_items")
+    return heads.where(F.col(parent_column).isNotNull()).select(*place, F.posexplode("_items").alias("item", "record"))
 
 
 def first_child_keys(parents: DataFrame, items: str = "items") -> DataFrame:

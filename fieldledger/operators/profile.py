@@ -87,34 +87,44 @@ def nested_keys(records: DataFrame) -> DataFrame:
 STORED = "name string, feed string, field string, api_type string, pull string, at long, keys array<string>"
 
 
-def stored_profile(records: DataFrame, feed: str) -> DataFrame:
-    """Rows of ``STORED`` for one batch of records ``(pull, page, pos, record)``.
+def with_shape(records: DataFrame) -> DataFrame:
+    """Adds ``shape``, a text that records have in common only if each of their fields is of the same type in all of them."""
+    # in two steps, so that a record is looked through once
+    kind = F.col("shape")
+    typed = records.withColumn("shape", F.schema_of_variant("record"))
+    # the type of a list says little of its elements, which are looked through like fields
+    return typed.withColumn("shape", F.when(kind.startswith("ARRAY"), F.to_json("record")).otherwise(kind))
+
+
+def _placed(records: DataFrame) -> DataFrame:
+    known = records if "shape" in records.columns else with_shape(records)
+    return known.select(F.coalesce("pull", F.lit("")).alias("pull"), arrival(F.col("page"), F.col("pos")).alias("at"), "shape", "record")
+
+
+def first_of_shapes(records: DataFrame) -> DataFrame:
+    """``(pull, at)``: where each shape of a record comes first. Every first value of a field and type is in one of these records."""
+    in_pull = _placed(records).groupBy("shape", "pull").agg(F.min("at").alias("at"))
+    firsts = in_pull.groupBy("shape").agg(F.min(F.struct(pull_order(F.col("pull")).alias("pull"), "at")).alias("first"))
+    return firsts.select(F.col("first.pull.name").alias("pull"), "first.at").distinct()
+
+
+def stored_profile(records: DataFrame, feed: str, spots: DataFrame | None = None) -> DataFrame:
+    """Rows of ``STORED`` for one batch of records ``(pull, page, pos, record)``, and their ``shape`` if it is known.
 
     The least position of each type of a field is associative: profiles of batches merged in any way are that of the whole.
+    Only the first record of each shape is looked into; ``spots`` says where these are, when that was written aside.
     """
-    placed = records.select(F.coalesce("pull", F.lit("")).alias("pull"), arrival(F.col("page"), F.col("pos")).alias("at"), "record")
+    placed, spots = _placed(records), first_of_shapes(records) if spots is None else spots
+    spots = spots.select(F.col("pull").alias("_pull"), F.col("at").alias("_at"))
+    here = placed.join(spots, (F.col("pull") == F.col("_pull")) & F.col("at").eqNullSafe(F.col("_at")), "left_semi")
     members = records.sparkSession.tvf.variant_explode(F.col("record").outer())
-    seen = placed.lateralJoin(members).select("pull", "at", F.col("key").alias("field"), "value")
-    kind = F.substring_index(F.schema_of_variant("value"), "<", 1)
-    typed = seen.select("pull", "at", "field", "value", type_name(kind).alias("api_type"))
-    firsts = typed.groupBy("field", "api_type", "pull").agg(F.min("at").alias("at"))
-    firsts = firsts.groupBy("field", "api_type").agg(F.min(F.struct(pull_order(F.col("pull")).alias("pull"), "at")).alias("first"))
-    firsts = firsts.select("field", "api_type", F.col("first.pull.name").alias("pull"), "first.at")
-    name = F.concat_ws("/", F.lit(feed), "field", "api_type").alias("name")
-    # one row for each field and type: where to look for keys, in a handful of records
-    found = [tuple(r) for r in firsts.collect()]
-    known = records.sparkSession.createDataFrame(found, "field string, api_type string, pull string, at long")
-    spots = sorted({r[2:] for r in found if r[1] in ("object", "array")})
-    if not spots:
-        return known.select(name, F.lit(feed).alias("feed"), "field", "api_type", "pull", "at", F.lit(None).cast("array<string>").alias("keys"))
-    places = F.array(*[F.struct(F.lit(pull).alias("pull"), F.lit(at).cast("long").alias("at")) for pull, at in spots])
-    here = placed.where(F.array_contains(places, F.struct("pull", "at")))
-    looked = here.lateralJoin(members).select("pull", "at", F.col("key").alias("field"), "value")
+    seen = here.lateralJoin(members).select("pull", "at", F.col("key").alias("field"), "value")
     raw = F.substring_index(F.schema_of_variant("value"), "<", 1)
     head = F.when(raw == "OBJECT", F.col("value")).when(raw == "ARRAY", F.try_variant_get("value", "$[0]", "variant"))
-    keys = looked.select("pull", "at", "field", type_name(raw).alias("api_type"), F.json_object_keys(F.to_json(head)).alias("keys"))
-    keys = keys.where(F.col("keys").isNotNull()).dropDuplicates(["field", "api_type", "pull", "at"])
-    return known.join(keys, ["field", "api_type", "pull", "at"], "left").select(name, F.lit(feed).alias("feed"), "field", "api_type", "pull", "at", "keys")
+    typed = seen.select("pull", "at", "field", type_name(raw).alias("api_type"), F.json_object_keys(F.to_json(head)).alias("keys"))
+    rank = F.struct(pull_order(F.col("pull")).alias("pull"), F.col("at"), F.col("keys").isNull().alias("bare"))
+    firsts = typed.groupBy("field", "api_type").agg(F.min_by(F.struct("pull", "at", "keys"), rank).alias("p"))
+    return firsts.select(F.concat_ws("/", F.lit(feed), "field", "api_type").alias("name"), F.lit(feed).alias("feed"), "field", "api_type", "p.*")
 
 
 def merged_profile(profiles: DataFrame) -> DataFrame:

@@ -90,13 +90,15 @@ def landed(pages: DataFrame, feed: str) -> DataFrame:
     texts = F.when(~whole, record_texts(body, feed))
     readable = whole | (F.trim("body") == "") | F.from_json(body, TEXTS).isNotNull() | F.from_json(body, LIST).isNotNull()
     total = F.coalesce(F.try_variant_get(data, "$.totalPages", "bigint"), F.when(~whole, paging(body, "totalPages")))
-    rows = opened(pages).select(
+    # what is said of a page is found before it is taken apart, or every record would carry the text and the value of its page
+    heads = opened(pages).select(
         "pull",
         "page",
         total.alias("total_pages"),
         F.when(~F.coalesce(readable, F.lit(False)), body).alias("bad"),
-        F.posexplode_outer(F.when(whole, parsed).otherwise(F.transform(texts, one))).alias("pos", "found"),
+        F.when(whole, parsed).otherwise(F.transform(texts, one)).alias("all"),
     )
+    rows = heads.select("pull", "page", "total_pages", "bad", F.posexplode_outer("all").alias("pos", "found"))
     return rows.select("pull", "page", "total_pages", "bad", "pos", "found.record", "found.text")
 
 

@@ -7,6 +7,8 @@ so a micro-batch that ran but was not recorded is simply run again.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -120,6 +122,19 @@ class TableStore:
         return Staged(self, rows)
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: object) -> Iterator[None]:
+    """A session setting for as long as the block lasts, unless the session has its own."""
+    free = spark.conf.get(name, None) is None
+    if free:
+        spark.conf.set(name, str(value))
+    try:
+        yield
+    finally:
+        if free:
+            spark.conf.unset(name)
+
+
 def observed(seen: Observation) -> dict:
     """Metrics of a write; none if Spark found before running that there are no rows and left the counting out."""
     try:

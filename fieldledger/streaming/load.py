@@ -16,7 +16,7 @@ from fieldledger.functions import dates
 from fieldledger.operators import merge, normalize, profile, rules
 from fieldledger.operators.normalize import arrival
 from fieldledger.sources import pages as page_source
-from fieldledger.sources.store import TableStore, observed
+from fieldledger.sources.store import TableStore, observed, setting
 
 # Feeds in load order, and defaults of the reads that need one.
 STATIC_FEEDS = ("serviceline", "tag", "paymentterms")
@@ -81,14 +81,19 @@ class Loader:
         if feed in self.plans:
             return self.plans[feed]
         known = self.store.read(PROFILES).where(F.col("feed") == feed)
-        both = known.unionByName(profile.stored_profile(records, feed))
-        # one row for each field and type, the size of a table header
-        rows = profile.merged_profile(both).collect()
+        with self.store.staged(profile.first_of_shapes(records)) as spots:
+            both = known.unionByName(profile.stored_profile(records, feed, spots))
+            # one row for each field and type, the size of a table header
+            rows = profile.merged_profile(both).collect()
         layout, _ = self.store.layout(PROFILES)
         seen = self.spark.createDataFrame(rows, layout)
         self.store.upsert(PROFILES, seen, cheap=True)
         return rules.resource_plan(profile.profiles_of(profile.settled_profile(seen)), feed)
 
+    def _shaped(self, feed: str, records: DataFrame) -> DataFrame:
+        """Records with the shape that their profile is taken by, found while they are written aside."""
+        return records if feed in self.plans else profile.with_shape(records)
+
     def load(
         self,
         feed: str,
@@ -112,10 +117,12 @@ class Loader:
             return [self._log(Run(table, 0, 0, "skipped", "no table for this feed"), started, source, batch)]
         if feed in STATIC_FEEDS and not full and self.store.exists(table) and not self.store.read(table).isEmpty():
             return [self._log(Run(table, 0, 0, "skipped"), started, source, batch)]
+        # what was written aside packs well: cut by size alone it would make about one task for each core, and a few more
+        finer = setting(self.spark, "spark.sql.files.minPartitionNum", 4 * self.spark.sparkContext.defaultParallelism)
         try:
-            with self.store.staged(page_source.landed(pages, feed)) as landed:
+            with finer, self.store.staged(self._shaped(feed, page_source.landed(pages, feed))) as landed:
                 unread = self._dead_pages(table, landed, started, source, batch, whole=batch is None)
-                records = landed.where(F.col("pos").isNotNull()).select("pull", "page", "pos", "record", "text")
+                records = landed.where(F.col("pos").isNotNull()).drop("total_pages", "bad")
                 if feed == "servicerecurrence":
                     due = normalize.enrich_due(records.where(F.col("record").isNotNull()), page_source.section(pages, DUE_SECTION))
                     records = due.unionByName(records.where(F.col("record").isNull()), allowMissingColumns=True)
@@ -153,7 +160,7 @@ class Loader:
             readable = records.where(F.col("record").isNotNull())
             chosen = normalize.choose_children(readable, parent_column, details).withColumns(place)
             chosen = chosen.withColumn("pull", F.coalesce("pull", F.lit("")))
-            with self.store.staged(chosen) as kept:
+            with self.store.staged(self._shaped(child, chosen)) as kept:
                 keep = [parent_column, "pull", "page", "pos", "item"]
                 return self._store(table, kept, self.plan(child, kept), keep, None, started, source, batch, None, None)
         except Exception as error:  # noqa: BLE001 - the parent is stored already
@@ -175,7 +182,11 @@ class Loader:
                 order.append(F.col("item"))
             if newer_by:
                 order.insert(0, F.col(newer_by))
-            added = self.store.upsert(table, merge.last_arrivals(typed.drop("_lost", "_text"), "id", order), newer_by)
+            keyed = typed.drop("_lost", "_text").where(F.col("id").isNotNull())
+            with self.store.staged(merge.repeated(keyed, "id")) as twice:
+                # rows whose key comes once need no choice, and so no sorting
+                changes = keyed if twice.isEmpty() else merge.last_of_repeated(keyed, "id", order, twice)
+                added = self.store.upsert(table, changes, newer_by)
             if counts["keyed"] < counts["all"] or counts["lost"]:
                 self._reject(_rejected(typed), table, _run(started, source, batch))
         status = "partial" if trouble else "success"
