@@ -184,8 +184,10 @@ def poisoned_company_pages(spark, sf_dir: str) -> DataFrame:
 
 def land(pages: DataFrame, folder: str) -> None:
     """One text file for each page, pulls in folders ``pull=<id>``."""
-    numbered = pages.withColumn("n", F.xxhash64("body"))
-    numbered.repartition("pull", "n").write.partitionBy("pull", "n").mode("append").text(folder)
+    spread = pages.repartition("pull", F.xxhash64("body"))
+    # files that lie side by side: a folder for each would have to be made, listed and, one by one, moved by the driver
+    in_tasks = spread.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    in_tasks.partitionBy("pull").mode("append").text(folder)
 
 
 def invoice_details(spark, sf_dir: str) -> DataFrame:

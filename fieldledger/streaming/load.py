@@ -213,11 +213,12 @@ class Loader:
     def _log(self, run: Run, started: int, source: str | None, batch: int | None) -> Run:
         """One log row per run and table; a replay writes the same row again."""
         finished = self.clock()
-        row = self.spark.createDataFrame(
-            [(run.table, started, _clock(started), finished, _clock(finished), run.status, run.fetched, run.upserted, run.error)],
-            "resource string, started_at long, started_at_dt string, finished_at long, finished_at_dt string,"
-            " status string, records_fetched long, records_upserted long, error_message string",
-        )
+        values = {
+            "resource": run.table, "started_at": started, "started_at_dt": _clock(started), "finished_at": finished, "finished_at_dt": _clock(finished),
+            "status": run.status, "records_fetched": run.fetched, "records_upserted": run.upserted, "error_message": run.error,
+        }
+        # one row without a detour through Python, as a stream writes it in every batch
+        row = self.spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(n) for n, v in values.items()])
         identity = F.xxhash64(F.lit(source or str(started)), F.lit(-1 if batch is None else batch), F.col("resource"))
         self.store.upsert("sync_log", row.withColumn("id", identity), cheap=True)
         return run
@@ -262,46 +263,57 @@ class Loader:
         """
 
         def one(pages: DataFrame, batch: int) -> None:
-            with self.store.staged(page_source.page_heads(pages)) as heads:
-                hold = self._wait(feed, heads, checkpoint, batch)
-                ready = self._ready(feed, checkpoint, batch)
-                if ready.isEmpty():
-                    waits = Run(schema.table_name(feed), 0, 0, "partial", f"{hold} pulls are not whole")
-                    self._log(waits, self.clock(), checkpoint, batch)
-                    return
-                runs = self.load(feed, ready, True, details, source=checkpoint, batch=batch, hold=hold)
-            failed = [r for r in runs if r.status == "failed"]
+            waiting, pulls, hold = self._wait(feed, pages, checkpoint, batch)
+            if not any(released is not None for _, released in pulls):
+                waits = Run(schema.table_name(feed), 0, 0, "partial", f"{hold} pulls are not whole")
+                self._log(waits, self.clock(), checkpoint, batch)
+                return
+            ready = self._ready(waiting, pulls, batch)
+            failed = [r for r in self.load(feed, ready, True, details, source=checkpoint, batch=batch, hold=hold) if r.status == "failed"]
             if failed:
                 raise RuntimeError(failed[0].error)
 
-        run_stream(page_source.stream_pages(self.spark, folder, files_per_batch), one, checkpoint)
+        # files and folders are listed by some tasks for each core, not by one task for each of them
+        listing = setting(self.spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", 4 * self.spark.sparkContext.defaultParallelism)
+        with listing:
+            run_stream(page_source.stream_pages(self.spark, folder, files_per_batch), one, checkpoint)
 
     def _waiting(self, feed: str, source: str) -> DataFrame:
         return self.store.parts(WAITING, WAITING_LAYOUT).where((F.col("feed") == feed) & (F.col("source") == _short(source))).withColumn("pull", F.substring("pull", 2, 1 << 20))
 
-    def _wait(self, feed: str, heads: DataFrame, source: str, batch: int) -> int:
-        """Keep the pages of a batch, and note which pulls it completes. How many pulls of the feed are not whole."""
+    def _wait(self, feed: str, pages: DataFrame, source: str, batch: int) -> tuple[DataFrame, list[tuple], int]:
+        """Keep the pages of a batch, and note which pulls it completes.
+
+        Returns the pages kept up to this batch, ``(pull, released)`` for each pull that the batch has pages of, and how many pulls of the
+        feed are not whole.
+        """
         # partition values are never empty: a letter goes before the name of a pull
         parts = {"feed": F.lit(feed), "source": F.lit(_short(source)), "batch": F.lit(batch), "pull": F.concat(F.lit("p"), "pull")}
-        self.store.put_part(WAITING, heads.withColumns(parts), "feed", "source", "pull", "batch")
-        known = self.store.read(PULLS).where((F.col("feed") == feed) & F.col("name").startswith(f"{_short(source)}/"))
-        before = known.where(F.col("released") < batch).select("pull", "released")
-        touched = heads.select("pull").distinct()
+        # few files for each pull, as later batches read the heads in them again
+        kept = page_source.page_heads(pages).withColumns(parts).hint("rebalance", F.col("pull"))
+        self.store.put_part(WAITING, kept, "feed", "source", "pull", "batch")
+        waiting = self._waiting(feed, source).where(F.col("batch") <= batch)
+        mine = (F.col("feed") == feed) & F.col("name").startswith(f"{_short(source)}/")
+        before = self.store.read(PULLS).where(mine & (F.col("released") < batch)).select("pull", "released")
         # only pulls of this batch change; bodies are not read
-        states = page_source.pull_states(self._waiting(feed, source).where(F.col("batch") <= batch).join(touched, "pull", "left_semi"))
+        touched = waiting.where(F.col("batch") == batch).select("pull").distinct()
+        states = page_source.pull_states(waiting.join(touched, "pull", "left_semi"))
         there = F.col("total_pages").isNull() | (F.col("total_pages") <= F.col("pages_landed") + F.col("unread"))
         name = F.concat(F.lit(f"{_short(source)}/{feed}/"), "pull")
         rows = states.join(before, "pull", "left").select(
             name.alias("name"), F.lit(feed).alias("feed"), "pull", "total_pages", "pages_landed", "unread", F.coalesce("released", F.when(there, F.lit(batch))).cast("long").alias("released")
         )
-        self.store.upsert(PULLS, rows)
+        with self.store.staged(rows) as settled:
+            # one row for each pull of the batch, at most one for each of its files
+            found = [(r["pull"], r["released"]) for r in settled.select("pull", "released").collect()]
+            self.store.upsert(PULLS, settled, cheap=True)
         whole = F.coalesce(F.col("total_pages") <= F.col("pages_landed"), F.col("unread") == 0)
-        return self.store.read(PULLS).where((F.col("feed") == feed) & F.col("name").startswith(f"{_short(source)}/") & ~whole).count()
+        return waiting, found, self.store.read(PULLS).where(mine & ~whole).count()
 
-    def _ready(self, feed: str, source: str, batch: int) -> DataFrame:
+    def _ready(self, waiting: DataFrame, pulls: list[tuple], batch: int) -> DataFrame:
         """Pages to load now: all pages of pulls that this batch completes, and its own pages of pulls loaded before."""
-        pulls = self.store.read(PULLS).where((F.col("feed") == feed) & F.col("name").startswith(f"{_short(source)}/")).select("pull", "released")
-        pages = self._waiting(feed, source).where(F.col("batch") <= batch).join(pulls, "pull")
+        known = self.spark.createDataFrame(pulls, "pull string, released long")
+        pages = waiting.join(known.where("released is not null"), "pull")
         now = (F.col("released") == batch) | ((F.col("released") < batch) & (F.col("batch") == batch))
         return pages.where(now).select("pull", "body")
 

@@ -2,9 +2,11 @@ import json
 
 from pyspark.sql import functions as F
 
+from checks import feeds
 from fieldledger.operators import merge, normalize, profile
 from fieldledger.sources import pages
-from fieldledger.sources.store import setting
+from fieldledger.sources.store import TableStore, setting
+from fieldledger.streaming.load import Loader
 
 
 def page_frame(spark, *records):
@@ -69,3 +71,18 @@ def test_a_setting_of_the_session_stays(spark):
         with setting(spark, name, 9):
             assert spark.conf.get(name) == "7"
     assert spark.conf.get(name, None) is None
+
+
+def test_pages_land_side_by_side_and_wait_in_few_files(spark, tmp_path):
+    bodies = [(pull, json.dumps({"data": {"companies": [{"id": n, "name": "x"}], "page": n, "totalPages": 21}})) for pull in ("1", "2") for n in range(1, 21)]
+    feeds.land(spark.createDataFrame(bodies, "pull string, body string").repartition(3), str(tmp_path / "in"))
+    files = sorted((tmp_path / "in").rglob("*.txt"))
+    assert len(files) == 40 and {p.parent for p in files} == {tmp_path / "in" / "pull=1", tmp_path / "in" / "pull=2"}
+    assert sorted(p.read_text().rstrip("\n") for p in files) == sorted(b for _, b in bodies)
+    loader = Loader(TableStore(spark, str(tmp_path / "store"), 2), clock=lambda: 500)
+    loader.stream("company", str(tmp_path / "in"), str(tmp_path / "check"))
+    assert len(list((tmp_path / "store" / "_waiting").rglob("*.parquet"))) == 2, "one for each pull"
+    assert {(r.pull, r.pages_landed, r.released) for r in loader.store.read("_pulls").collect()} == {("1", 20, None), ("2", 20, None)}
+    assert [(r.status, r.error_message) for r in loader.store.read("sync_log").collect()] == [("partial", "2 pulls are not whole")]
+    assert loader.store.count("company") == -1
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == "10000"
